@@ -60,9 +60,9 @@ HINT_CONFIDENCE = "信心"
 
 # Every code point with the Unicode White_Space property.
 WHITE_SPACE = (
-    "\t\n\u000b\u000c\r \u0085  "
-    "           "
-    "    　"
+    "\t\n\u000b\u000c\r \u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Limits that decide results.
