@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signpost.functions.text import is_job_id, text_key, trim_u
+from signpost.operators.sizing import broadcast_if_bounded
 from signpost.schema import STATUS_DONE, STATUS_FILTERED, STATUS_PENDING
 
 
@@ -142,8 +143,9 @@ def normalize_job_ids(store: DataFrame, ordinal: str) -> DataFrame:
         & F.col("_taken").isNotNull()
         & (F.col("_taken") | (F.col(ordinal) != F.col("_first")))
     )
+    # Collisions of 128-bit hashes: normally none, so the rows are not shuffled.
     return (
-        rows.join(contested, "mid", "left")
+        rows.join(broadcast_if_bounded(contested), "mid", "left")
         .withColumn("mid", F.when(loses, salted).otherwise(F.col("mid")))
         .drop("_valid", "_taken", "_first")
     )

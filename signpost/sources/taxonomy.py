@@ -48,9 +48,15 @@ def list_field(name: str) -> Column:
     )
 
 
-def read_taxonomy(spark: SparkSession, path: str, keep_scalars: bool = False) -> DataFrame:
-    """Taxonomy rows in file order; rows without a code are skipped."""
-    raw = spark.read.option("multiLine", "true").option("singleVariantColumn", "v").json(path)
+def read_taxonomy(
+    spark: SparkSession, path: str, keep_scalars: bool = False, lines: bool = False
+) -> DataFrame:
+    """Taxonomy rows in file order; rows without a code are skipped.
+
+    The file is one JSON array, or with `lines` one object per line.
+    """
+    reader = spark.read.option("multiLine", str(not lines).lower())
+    raw = reader.option("singleVariantColumn", "v").json(path)
     fields = {
         column: text_field(name, keep_scalars) for name, column in TAXONOMY_TEXT_FIELDS.items()
     }
