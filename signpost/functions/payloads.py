@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from signpost.functions.text import _c, is_blank, trim_u
+from signpost.functions.text import _c, is_blank, strict_json, trim_u
 from signpost.schema import (
     ENRICHMENT_TYPE,
     HINT_CONFIDENCE,
@@ -62,7 +62,7 @@ def _hints_ok(variant: Column) -> Column:
 
 def structured_is_typed(raw) -> Column:
     """The text is JSON and each known field has its declared type."""
-    v = F.try_parse_json(_c(raw))
+    v = strict_json(raw)
     kind = F.schema_of_variant(v)
     shaped = F.startswith(kind, F.lit("OBJECT")) | (kind == "VOID")
     checks = (
@@ -87,6 +87,27 @@ def _labelled_list(label: str, values: Column, sep: str) -> Column:
     return F.when(F.size(values) > 0, F.concat(F.lit(f"{label}: "), joined))
 
 
+def two_decimals(value: Column) -> Column:
+    """A number with two decimals, rounded from its exact binary value, ties to even.
+
+    Java's own formatting rounds the shortest decimal form instead. The exact
+    way covers 0 to 1, the range of a confidence.
+    """
+    one = 2**62
+    # Scaling by a power of two is exact, and the product fits a long.
+    scaled = (value * F.lit(float(one))).cast("long").cast("decimal(20,0)") * F.lit(100)
+    unit = F.lit(one).cast("decimal(20,0)")
+    whole = F.floor(scaled / unit).cast("long")
+    rest = scaled - whole.cast("decimal(20,0)") * unit
+    half = F.lit(one // 2).cast("decimal(20,0)")
+    up = (rest > half) | ((rest == half) & (whole % 2 == 1))
+    cents = whole + up.cast("long")
+    exact = F.concat(
+        F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0")
+    )
+    return F.when((value >= 0) & (value <= 1), exact).otherwise(F.format_string("%.2f", value))
+
+
 def format_structured(raw) -> Column:
     """Readable lines of a structured payload; the raw text where it does not parse."""
     raw = _c(raw)
@@ -96,7 +117,9 @@ def format_structured(raw) -> Column:
         named,
         lambda h: F.concat(
             h[HINT_NAME],
-            F.format_string("(信心%.2f)", F.coalesce(h[HINT_CONFIDENCE], F.lit(0.0))),
+            F.lit("(信心"),
+            two_decimals(F.coalesce(h[HINT_CONFIDENCE], F.lit(0.0))),
+            F.lit(")"),
         ),
     )
     lines = F.concat_ws(
@@ -206,7 +229,7 @@ def extract_json(value) -> Column:
         (start > 0) & F.contains(text, F.lit("}")) & (end > start),
         F.substring(text, start, end - start + 1),
     )
-    return F.when(F.try_parse_json(candidate).isNotNull(), candidate)
+    return F.when(strict_json(candidate).isNotNull(), candidate)
 
 
 def strip_code_fence(value) -> Column:
@@ -227,13 +250,13 @@ def strip_code_fence(value) -> Column:
 
 def normalize_json(value) -> Column:
     """Reparse and print with sorted keys (compact); null where it is no JSON."""
-    return F.to_json(F.try_parse_json(_c(value)))
+    return F.to_json(strict_json(value))
 
 
 def json_or_default(value, default: str = "[]") -> Column:
     """A JSON fragment, or the default where it is blank or invalid."""
     text = trim_u(value)
-    return F.when(F.try_parse_json(text).isNotNull(), text).otherwise(F.lit(default))
+    return F.when(strict_json(text).isNotNull(), text).otherwise(F.lit(default))
 
 
 def null_if_blank(value) -> Column:
@@ -243,7 +266,7 @@ def null_if_blank(value) -> Column:
 def decode_enrichment(reply) -> Column:
     """Model reply -> struct of the four enriched fields; null where it does not decode."""
     text = strip_code_fence(reply)
-    v = F.try_parse_json(text)
+    v = strict_json(text)
     kind = F.schema_of_variant(v)
     typed = F.coalesce(F.startswith(kind, F.lit("OBJECT")) | (kind == "VOID"), F.lit(False))
     typed = typed & _type_ok(v, TAXONOMY_OVERVIEW_FIELD, _TEXT)

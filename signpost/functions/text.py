@@ -75,6 +75,19 @@ def clean_list(values) -> Column:
     return F.filter(cleaned, lambda x: x != "")
 
 
+def strict_json(value) -> Column:
+    """JSON text as a variant; null unless the whole text is one JSON value.
+
+    The parser stops at the end of the first value. Text after it would close
+    an array or an object too early or add members, so one of the two wrapped
+    forms fails.
+    """
+    text = _c(value)
+    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.when(in_object.isNotNull(), F.try_variant_get(in_array, "$[0]", "variant"))
+
+
 def parse_list_field(value) -> Column:
     """Text holding a list -> cleaned array; blank gives an empty array.
 
@@ -82,7 +95,7 @@ def parse_list_field(value) -> Column:
     is split at list separators; with a single part the whole text is kept.
     """
     text = trim_u(value)
-    json_type = F.schema_of_variant(F.try_parse_json(text))
+    json_type = F.schema_of_variant(strict_json(text))
     is_string_array = (
         F.startswith(text, F.lit("["))
         & F.endswith(text, F.lit("]"))

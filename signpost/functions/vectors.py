@@ -18,8 +18,10 @@ def normalize_vector(vector) -> Column:
     """Unit vector in single precision; null for a zero or empty vector."""
     vector = _c(vector)
     norm = F.sqrt(squared_norm(vector))
-    factor = F.when(norm > 0, (F.lit(1.0) / norm).cast("float"))
-    return F.when(norm > 0, F.transform(vector, lambda x: x * factor))
+    # The factor goes in as an array: inside the lambda it would be worked out
+    # again for every element.
+    factor = F.array_repeat((F.lit(1.0) / F.nullif(norm, F.lit(0.0))).cast("float"), F.size(vector))
+    return F.when(norm > 0, F.zip_with(vector, factor, lambda x, f: x * f))
 
 
 def dot_product(left, right) -> Column:

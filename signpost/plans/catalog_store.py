@@ -159,13 +159,13 @@ def apply_enrichment(spark, sf):
 @query(
     "diff_result_store",
     f"""WITH {V.POSTINGS}, {V.RESULTS}, {V.RESULT_IDS}, {V.ELIGIBLE},
-        both AS (SELECT coalesce(e.mid, r.mid) AS mid, e.mid IS NOT NULL AS s,
+        present AS (SELECT coalesce(e.mid, r.mid) AS mid, e.mid IS NOT NULL AS s,
             r.mid IS NOT NULL AS r FROM eligible e FULL JOIN result_ids r ON r.mid = e.mid)
         SELECT count(*) FILTER (s AND r) AS valid, count(*) FILTER (s AND NOT r) AS missing,
           count(*) FILTER (NOT s) AS extras,
           (SELECT coalesce(string_agg(mid, ',' ORDER BY mid), '') FROM
-            (SELECT mid FROM both WHERE s AND NOT r ORDER BY mid LIMIT 10)) AS missing_sample
-        FROM both""",
+            (SELECT mid FROM present WHERE s AND NOT r ORDER BY mid LIMIT 10)) AS missing_sample
+        FROM present""",
 )
 def diff_result_store(spark, sf):
     return C.diff_result_store(V.results(spark, sf), V.postings(spark, sf))

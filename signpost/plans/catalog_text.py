@@ -30,10 +30,10 @@ from signpost.sources.delimited import source_tag
 
 @query(
     "valid_rows",
-    f"""SELECT mid, length(job_intro) AS n FROM (
-          SELECT {trim_sql('role')} AS mid, {trim_sql('text')} AS job_intro FROM conversations
-          UNION ALL SELECT ' ', name FROM (SELECT r_name AS name FROM region))
-        WHERE mid <> ''""",
+    f"""SELECT {trim_sql('mid')} AS mid, length({trim_sql('job_intro')}) AS n FROM (
+          SELECT role AS mid, text AS job_intro FROM conversations
+          UNION ALL SELECT ' ', r_name FROM region)
+        WHERE {trim_sql('mid')} <> ''""",
 )
 def valid_rows(spark, sf):
     talk = V.table(spark, sf, "conversations").select(
@@ -43,7 +43,7 @@ def valid_rows(spark, sf):
         F.lit(" ").alias("mid"), F.col("r_name").alias("job_intro")
     )
     kept = routing.valid_rows(talk.unionByName(blank))
-    return kept.select("mid", F.char_length("job_intro").alias("n"))
+    return kept.select("mid", F.char_length("job_intro").cast("long").alias("n"))
 
 
 @query(
@@ -99,7 +99,7 @@ def normalize_job_ids(spark, sf):
 )
 def pending_match(spark, sf):
     rows = routing.pending_match(V.postings(spark, sf))
-    return rows.select("mid", "status", F.char_length("job_intro").alias("n"))
+    return rows.select("mid", "status", F.char_length("job_intro").cast("long").alias("n"))
 
 
 @query(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from signpost.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -15,7 +18,13 @@ def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: list[str] = []
 
@@ -28,7 +30,44 @@ def build_session(master: str | None = None, app: str = "signpost", **extra: str
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per application.
+
+    Not needed where the package is installed on the executors or submitted
+    with the job, and harmless there.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="signpost-"), "signpost-package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
+def materialize(rows: DataFrame, label: str) -> DataFrame:
+    """Write `rows` as a table in the shared scratch folder and read that.
+
+    For results used more than once: later steps read files instead of computing
+    again, and a lost executor costs only a re-read.
+    """
+    path = scratch_dir(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
