@@ -8,6 +8,7 @@ from signpost.functions import payloads as P
 from signpost.functions import text as X
 from signpost.functions.progress import progress_pct, progress_status
 from signpost.operators import routing, store
+from signpost.operators.sizing import spread
 from signpost.plans import views as V
 from signpost.plans.registry import query
 from signpost.plans.views import trim_sql
@@ -356,7 +357,7 @@ def taxonomy_metadata(spark, sf):
 
 def structured_rows(spark, sf):
     """A structured payload per document, as JSON text; every kind of defect occurs."""
-    docs = V.table(spark, sf, "documents")
+    docs = spread(V.table(spark, sf, "documents"), "doc_id")
     hint = F.struct(
         F.col("source").alias(HINT_NAME), (F.col("doc_id") / 1000).alias(HINT_CONFIDENCE)
     )

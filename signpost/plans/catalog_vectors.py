@@ -9,6 +9,7 @@ from signpost.operators import graph as G
 from signpost.operators import models as M
 from signpost.operators import nearest as N
 from signpost.operators import routing
+from signpost.operators.sizing import spread
 from signpost.plans import classify as K
 from signpost.plans import index as I
 from signpost.plans import views as V
@@ -304,7 +305,7 @@ _SUMMARY = """CAST(sum(n) AS BIGINT) AS trigrams, CAST(sum(n * (bucket + 1)) AS
         SELECT doc_id, {_SUMMARY} FROM tri GROUP BY doc_id""",
 )
 def embed_texts(spark, sf):
-    rows = M.embed_texts(V.table(spark, sf, "documents"), "text")
+    rows = M.embed_texts(spread(V.table(spark, sf, "documents"), "doc_id"), "text")
     return _vector_summary(rows.filter(F.col("error").isNull()), "doc_id")
 
 
