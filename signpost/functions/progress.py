@@ -10,7 +10,7 @@ from signpost.functions.text import _c
 
 def progress_pct(source_lines, processed) -> Column:
     """Per cent done: 100 only on an exact match, otherwise at most 99.9."""
-    source, done = _c(source_lines), _c(processed)
+    source, done = _c(source_lines), F.coalesce(_c(processed), F.lit(0))
     # The guard inside keeps the division defined whatever branch is evaluated first.
     share = done / F.when(source > 0, source) * 100
     return (

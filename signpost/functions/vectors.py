@@ -35,8 +35,10 @@ def dot_product(left, right) -> Column:
 
 
 def clamp_score(cosine) -> Column:
-    """A cosine as a score between 0 and 1."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), _c(cosine)))
+    """A cosine as a score between 0 and 1; null stays null."""
+    value = _c(cosine)
+    # greatest and least alone would skip a null.
+    return F.when(value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)))
 
 
 def distance_to_score(distance) -> Column:

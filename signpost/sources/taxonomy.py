@@ -57,6 +57,9 @@ def read_taxonomy(
     """
     reader = spark.read.option("multiLine", str(not lines).lower())
     raw = reader.option("singleVariantColumn", "v").json(path)
+    if not lines:
+        # The array of a file arrives as one value. A taxonomy has a few thousand rows.
+        raw = raw.select(F.explode(F.try_variant_get("v", "$", "array<variant>")).alias("v"))
     fields = {
         column: text_field(name, keep_scalars) for name, column in TAXONOMY_TEXT_FIELDS.items()
     }
