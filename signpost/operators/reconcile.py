@@ -48,13 +48,12 @@ def dedup_keep_first(
     """First row per id in input order; blank ids and ids in `drop` are removed.
 
     The rank filter is applied on the map side first, so a hot id sends one row
-    per map task.
+    per map task. Unwanted ids go after that, in the same partitioning.
     """
-    kept = rows.filter(~is_blank(key)).withColumn(key, trim_u(key))
-    if drop is not None:
-        kept = kept.join(drop.select(key), key, "left_anti")
+    named = rows.filter(~is_blank(key)).withColumn(key, trim_u(key))
     first = Window.partitionBy(key).orderBy(F.col(ordinal))
-    return kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
+    kept = named.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
+    return kept if drop is None else kept.join(drop.select(key), key, "left_anti")
 
 
 def diff_result_store(results: DataFrame, store: DataFrame, sample: int = 10) -> DataFrame:
