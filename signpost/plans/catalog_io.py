@@ -174,12 +174,12 @@ def write_vectors(spark, sf):
 
 @query(
     "write_neighbors",
-    f"WITH {V.REFS}, {V.GRAPH} SELECT job_id, neighbor_id, round(score, 6) AS score FROM edges",
+    f"WITH {V.REFS}, {V.GRAPH} SELECT job_id, neighbor_id, score FROM edges",
 )
 def write_neighbors(spark, sf):
     path = scratch_dir(spark, "neighbors")
     W.write_neighbors(N.neighbor_graph(V.ref_vectors(spark, sf)), path)
-    return spark.read.parquet(path).withColumn("score", F.round("score", 6))
+    return spark.read.parquet(path)
 
 
 # --- model steps, with a stand-in model that reads the prompt ---------------------------

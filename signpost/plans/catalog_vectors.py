@@ -118,54 +118,47 @@ _CLAMPED = clamp_sql("cosine")
 
 @query(
     "topk_candidates",
-    f"""{_TOP} SELECT mid, CAST(rank AS INT) AS rank, code, round(1 - cosine, 6) AS distance,
-          round({_CLAMPED}, 6) AS similarity FROM top""",
+    f"""{_TOP} SELECT mid, CAST(rank AS INT) AS rank, code, 1 - cosine AS distance,
+          {_CLAMPED} AS similarity FROM top""",
 )
 def topk_candidates(spark, sf):
-    top = N.topk_candidates(V.query_vectors(spark, sf), V.ref_vectors(spark, sf))
-    return top.withColumns(
-        {"distance": F.round("distance", 6), "similarity": F.round("similarity", 6)}
-    )
+    return N.topk_candidates(V.query_vectors(spark, sf), V.ref_vectors(spark, sf))
 
 
 @query(
     "best_match",
-    f"""{_TOP} SELECT mid, code, round({_CLAMPED}, 6) AS similarity FROM top WHERE rank = 1""",
+    f"""{_TOP} SELECT mid, code, {_CLAMPED} AS similarity FROM top WHERE rank = 1""",
 )
 def best_match(spark, sf):
     top = N.topk_candidates(V.query_vectors(spark, sf), V.ref_vectors(spark, sf))
-    return N.best_match(top).withColumn("similarity", F.round("similarity", 6))
+    return N.best_match(top)
 
 
 @query(
     "reject_low_similarity",
-    f"""{_TOP} SELECT mid, code, round({_CLAMPED}, 6) AS similarity FROM top
+    f"""{_TOP} SELECT mid, code, {_CLAMPED} AS similarity FROM top
         WHERE rank = 1 AND {_CLAMPED} >= {REJECT_BELOW}""",
 )
 def reject_low_similarity(spark, sf):
     top = N.topk_candidates(V.query_vectors(spark, sf), V.ref_vectors(spark, sf))
-    kept = routing.reject_low_similarity(N.best_match(top))
-    return kept.withColumn("similarity", F.round("similarity", 6))
+    return routing.reject_low_similarity(N.best_match(top))
 
 
 @query(
     "neighbor_graph",
-    f"""WITH {V.REFS}, {V.GRAPH} SELECT job_id, neighbor_id, round(score, 6) AS score
-        FROM edges""",
+    f"WITH {V.REFS}, {V.GRAPH} SELECT job_id, neighbor_id, score FROM edges",
 )
 def neighbor_graph(spark, sf):
-    edges = N.neighbor_graph(V.ref_vectors(spark, sf))
-    return edges.withColumn("score", F.round("score", 6))
+    return N.neighbor_graph(V.ref_vectors(spark, sf))
 
 
 @query(
     "graph_neighbors",
     f"""WITH {V.REFS}, {V.GRAPH} SELECT job_id, neighbor_id, CAST(rank AS INT) AS rank,
-          round(score, 6) AS score FROM edges WHERE rank <= {GRAPH_USED}""",
+          score FROM edges WHERE rank <= {GRAPH_USED}""",
 )
 def graph_neighbors(spark, sf):
-    edges = G.graph_neighbors(N.neighbor_graph(V.ref_vectors(spark, sf)))
-    return edges.withColumn("score", F.round("score", 6))
+    return G.graph_neighbors(N.neighbor_graph(V.ref_vectors(spark, sf)))
 
 
 @query(
@@ -191,7 +184,7 @@ def edge_count(spark, sf):
         won AS (SELECT mid, arg_max(code, similarity) AS code, max(similarity) AS similarity
           FROM better GROUP BY mid)
         SELECT b.mid, coalesce(w.code, b.code) AS code,
-          round(coalesce(w.similarity, b.similarity), 6) AS similarity,
+          coalesce(w.similarity, b.similarity) AS similarity,
           w.code IS NOT NULL AS changed FROM best b LEFT JOIN won w ON w.mid = b.mid""",
 )
 def graph_correction(spark, sf):
@@ -199,9 +192,7 @@ def graph_correction(spark, sf):
     attached = N.attach_candidates(V.query_vectors(spark, sf), refs)
     graph = materialize(N.neighbor_graph(refs), "graph")
     corrected = G.graph_correction(attached, graph)
-    return corrected.select(
-        "mid", "code", F.round("similarity", 6).alias("similarity"), "changed"
-    )
+    return corrected.select("mid", "code", "similarity", "changed")
 
 
 @query(
@@ -222,8 +213,8 @@ def attach_taxonomy(spark, sf):
           FROM top LEFT JOIN taxonomy t ON t.code = top.code WHERE rank = 1)
         SELECT code, count(*) AS matched,
           count(*) FILTER (similarity < {REJECT_BELOW}) AS low_conf,
-          round(min(similarity), 6) AS min_similarity, round(avg(similarity), 6) AS avg_similarity,
-          round(max(similarity), 6) AS max_similarity FROM best GROUP BY code""",
+          min(similarity) AS min_similarity, round(avg(similarity), 6) AS avg_similarity,
+          max(similarity) AS max_similarity FROM best GROUP BY code""",
 )
 def match_summary(spark, sf):
     top = N.topk_candidates(V.query_vectors(spark, sf), V.ref_vectors(spark, sf))
@@ -231,8 +222,7 @@ def match_summary(spark, sf):
     summary = G.match_summary(
         joined.select(F.col("tx_small").alias("code"), "similarity"), REJECT_BELOW
     )
-    rounded = {c: F.round(c, 6) for c in summary.columns if c.endswith("_similarity")}
-    return summary.withColumns(rounded)
+    return summary.withColumn("avg_similarity", F.round("avg_similarity", 6))
 
 
 @query(
