@@ -361,6 +361,13 @@ def _sparse_unit(name: str, counts: str, key: str) -> str:
       FROM {counts} GROUP BY {key}) u ON u.{key} = c.{key})"""
 
 
+SPARSE_TOP = f"""{_sparse_unit('qu', 'qt', 'mid')}, {_sparse_unit('ru', 'rt', 'code')},
+  pairs AS (SELECT q.mid, r.code, round(sum(q.x * r.x), 9) AS cosine
+    FROM qu q JOIN ru r ON r.bucket = q.bucket GROUP BY q.mid, r.code),
+  top AS (SELECT mid, code, cosine, row_number() OVER (PARTITION BY mid
+    ORDER BY cosine DESC, code) AS rank FROM pairs)"""
+
+
 @query(
     "classify_text",
     f"""WITH {V.TAXONOMY}, {_PENDING},
@@ -368,12 +375,7 @@ def _sparse_unit(name: str, counts: str, key: str) -> str:
       code_text AS (SELECT code, {_CODE_TEXT} AS body FROM taxonomy),
       {trigram_sql('qt', 'todo_text', 'mid', 'body')},
       {trigram_sql('rt', 'code_text', 'code', 'body')},
-      {_sparse_unit('qu', 'qt', 'mid')}, {_sparse_unit('ru', 'rt', 'code')},
-      pairs AS (SELECT q.mid, r.code, round(sum(q.x * r.x), 9) AS cosine
-        FROM qu q JOIN ru r ON r.bucket = q.bucket GROUP BY q.mid, r.code),
-      top AS (SELECT mid, code, cosine, row_number() OVER (PARTITION BY mid
-        ORDER BY cosine DESC, code) AS rank FROM pairs)
-      {_result_sql('top')}""",
+      {SPARSE_TOP} {_result_sql('top')}""",
 )
 def classify_text(spark, sf):
     """Pending postings -> result rows, from their text alone."""

@@ -23,7 +23,6 @@ def test_sql_belongs_to_queries():
     assert set(QUERIES) - set(SQL) == {
         "lsh_candidates",
         "lsh_candidates_graph_expand",
-        "stream_classify",
     }
 
 
