@@ -9,20 +9,21 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_bounded(
+def is_bounded(
     side: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Hint a broadcast when `side` is measured to be small; else leave the join to Spark.
-
-    The check looks at no more than `max_rows` + 1 rows.
-    """
+) -> bool:
+    """Is `side` small enough to broadcast? Looks at no more than `max_rows` + 1 rows."""
     width = F.octet_length(F.to_json(F.struct(*side.columns)))
     seen = side.limit(max_rows + 1).agg(
         F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
     )
     size = seen.first()
-    fits = size["rows"] <= max_rows and size["bytes"] <= max_bytes
-    return F.broadcast(side) if fits else side
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+
+
+def broadcast_if_bounded(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when `side` is measured to be small; else leave the join to Spark."""
+    return F.broadcast(side) if is_bounded(side, max_rows) else side
 
 
 def spread(rows: DataFrame, key: str) -> DataFrame:
