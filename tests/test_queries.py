@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as driver
 import oracle
+from signpost.plans import catalog
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # The smallest tables have more vectors than codes.
 EMPTY_WHEN_SMALLEST = {"missing_vectors"} if SF.endswith("sf0.001") else set()
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.SQL
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,11 @@ def con():
     return oracle.connect(SF)
 
 
+def test_entry_has_all_queries():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(SQL) <= set(driver.oracle_sql()) <= set(driver.queries())
+
+
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {
