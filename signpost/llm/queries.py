@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signpost.llm import mixing
+from signpost.llm import mixing, pii
 from signpost.llm.tables import documents, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+PII_KEY = "rotatethiskey2026"
+
+
+@query("op1_pseudonymize")
+def op1_pseudonymize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's id, text with pseudonyms, and how many values were replaced."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pii.pseudonymize(docs, PII_KEY, count_as="n_replaced")
+
+
 @query("op10_mix_sources", mixing.SQL)
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: sources weigh 1, 2, 3, repeating, and share all words."""
