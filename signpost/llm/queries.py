@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signpost.llm import mixing, pii
+from signpost.llm import mixing, pii, spotsigs
 from signpost.llm.tables import documents, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,12 @@ def op1_pseudonymize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(docs, PII_KEY, count_as="n_replaced")
 
 
+@query("op3_spotsigs")
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and of its edited text, and their likeness."""
+    return spotsigs.edited_likeness(documents(spark, sf_dir))
+
+
 @query("op10_mix_sources", mixing.SQL)
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: sources weigh 1, 2, 3, repeating, and share all words."""

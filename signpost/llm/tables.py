@@ -29,20 +29,19 @@ def unique_name(frame: DataFrame, stem: str) -> str:
     return name
 
 
-def grid(key: Column, bounds: list, ascending: bool = True) -> Column:
-    """The number of `bounds` (sorted) that lie below `key`, by binary search.
+def grid(key: Column, bounds: list[int]) -> Column:
+    """The number of `bounds` (sorted) that lie below `key`, by binary search; 0 for null.
 
     The bounds travel inside the plan, so their number must be small and known.
     """
     if not bounds:
         return F.lit(0)
     steps = [1 << i for i in range(len(bounds).bit_length() - 1, -1, -1)]
-    held = F.array(*[F.lit(b) for b in bounds])
-    found = F.aggregate(
+    held = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda at, step: F.when(
             (at + step <= len(bounds)) & (F.try_element_at(held, at + step) < key), at + step
         ).otherwise(at),
     )
-    return found if ascending else F.lit(len(bounds)) - found
