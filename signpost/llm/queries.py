@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signpost.llm import mixing, pii, spotsigs
+from signpost.llm import chosen_path, mixing, pii, spotsigs
 from signpost.llm.tables import documents, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,12 @@ def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_likeness(documents(spark, sf_dir))
 
 
+@query("op4_ngram_join")
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class and number of links: five-word shingles, likeness of 0.8 or more."""
+    return chosen_path.near_copies(documents(spark, sf_dir))
+
+
 @query("op10_mix_sources", mixing.SQL)
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: sources weigh 1, 2, 3, repeating, and share all words."""
