@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signpost.llm import chosen_path, mixing, pii, spotsigs
+from signpost.llm import chosen_path, mixing, packing, pii, spotsigs
 from signpost.llm.tables import documents, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,12 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_copies(documents(spark, sf_dir))
 
 
+@query("op6_pack")
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' pieces in sequences of at most 1024 tokens."""
+    return packing.pieces(documents(spark, sf_dir))
+
+
 @query("op10_mix_sources", mixing.SQL)
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: sources weigh 1, 2, 3, repeating, and share all words."""
