@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signpost.llm import chosen_path, mixing, packing, pii, spotsigs
+from signpost.llm import chosen_path, langid, mixing, packing, pii, spotsigs
 from signpost.llm.tables import documents, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,12 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(documents(spark, sf_dir))
 
 
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, by a model of three quarters of the labelled documents."""
+    return langid.labelled(documents(spark, sf_dir))
+
+
 @query("op10_mix_sources", mixing.SQL)
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: sources weigh 1, 2, 3, repeating, and share all words."""
