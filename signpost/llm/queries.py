@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signpost.llm import chosen_path, langid, mixing, packing, pii, spotsigs
-from signpost.llm.tables import documents, ship_package
+from signpost.llm import chosen_path, langid, mixing, packing, pii, spotsigs, warc
+from signpost.llm.tables import documents, read, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,6 +39,12 @@ def op1_pseudonymize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(docs, PII_KEY, count_as="n_replaced")
 
 
+@query("op2_warc", warc.SQL)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives, normalised, and read back."""
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 @query("op3_spotsigs")
 def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, and their likeness."""
