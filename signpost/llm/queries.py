@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signpost.llm import chosen_path, langid, mixing, packing, pii, spotsigs, warc
+from signpost.llm import chosen_path, extract, langid, mixing, packing, pii, spotsigs, warc
 from signpost.llm.tables import documents, read, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,12 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(documents(spark, sf_dir))
 
 
+@query("op7_extract")
+def op7_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract.extracted(read(spark, sf_dir, "pages"))
+
+
 @query("op8_language_id")
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text, by a model of three quarters of the labelled documents."""
