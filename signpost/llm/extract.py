@@ -235,6 +235,7 @@ LABELLED = [
     ('<article><p>Go.</p><p><a href="/s">Source</a></p></article>', "11"),
     ('<main><p>Look here.</p><p><a href="/s">The map</a></p><p>Or ask us.</p><p><a href="/q">Questions</a></p></main>', "1111"),
     ('<p><a href="/1">Home</a></p><p>Imprint</p>', "00"),
+    (f'<p>{_PROSE}</p><p><a href="/9">Council votes on the plans for the old harbour at last</a></p><h2><a href="/8">Read on</a></h2>', "1 0 0"),
     ('<footer>Made here</footer><nav><a href="/z">Back to the top of this page</a></nav>', "00"),
     (f"<section><h2>Harvest</h2><p>{_MORE}</p></section><p>Contact us</p>", "11 0"),
 ]
