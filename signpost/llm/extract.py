@@ -232,11 +232,24 @@ LABELLED = [
     ("<article><p>One word.</p><p>Two.</p></article>", "11"),
     (f"<p>{_PROSE}</p><p>{_MORE}</p>", "11"),
     ("<p>A short page of nine plain words and nothing else.</p>", "1"),
+    ("<p>The ferry leaves at noon and comes back before it is dark.</p><p>It takes bicycles, dogs and up to forty people on deck.</p>", "11"),
+    ("<p>Tickets are sold on board, and children under six travel for free with an adult.</p>", "1"),
     ('<article><p>Go.</p><p><a href="/s">Source</a></p></article>', "11"),
     ('<main><p>Look here.</p><p><a href="/s">The map</a></p><p>Or ask us.</p><p><a href="/q">Questions</a></p></main>', "1111"),
     ('<p><a href="/1">Home</a></p><p>Imprint</p>', "00"),
     (f'<p>{_PROSE}</p><p><a href="/9">Council votes on the plans for the old harbour at last</a></p><h2><a href="/8">Read on</a></h2>', "1 0 0"),
     ('<footer>Made here</footer><nav><a href="/z">Back to the top of this page</a></nav>', "00"),
+    (
+        f'<article><h1>Log</h1><p>Wind.</p><p>No wind.</p><p>Rain all day.</p><p><a href="/m">Map</a></p><p>We slept till noon.</p><p>{_MORE}</p>'
+        '<p>Then the sun came out.</p><ul><li><a href="/k">Knots and how to tie them</a></li><li>rope</li></ul><p>Home.</p></article><nav><a href="/p">Previous</a></nav>',
+        "1111111 1111 0",
+    ),
+    (
+        f'<nav><a href="/q">All letters</a></nav><main><p>Sir,</p><p>{_PROSE}</p><p>I agree.</p><p>{_MORE}</p><p>I do not think that it will help.</p>'
+        '<h3>Answer</h3><p>It may.</p><p>Ask <a href="/w">the writer</a></p><p><a href="/w">Writer</a></p><p>Yours, the editors of this page</p></main>',
+        "0 1111111111",
+    ),
+    (f'<p>Tuesday</p><p>Edition four</p><p>Price one crown</p><h1>Fog</h1><p>{_PROSE}</p><p>{_MORE}</p><p>Printed in town</p><p>Page one</p>', "000 111 00"),
     (f"<section><h2>Harvest</h2><p>{_MORE}</p></section><p>Contact us</p>", "11 0"),
 ]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signpost.llm import chosen_path, extract, langid, mixing, packing, pii, spotsigs, warc
+from signpost.llm import chosen_path, extract, kmeans_tree, langid, mixing, packing, pii, spotsigs, warc
 from signpost.llm.tables import documents, read, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,12 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_copies(documents(spark, sf_dir))
 
 
+@query("op5_nearest")
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found of every hundredth vector."""
+    return kmeans_tree.nearest(read(spark, sf_dir, "embeddings"))
+
+
 @query("op6_pack")
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' pieces in sequences of at most 1024 tokens."""
