@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signpost.llm import chosen_path, extract, kmeans_tree, langid, mixing, packing, pii, spotsigs, warc
+from signpost.llm import chosen_path, extract, kmeans_tree, langid, mixing, packing, pii, rollup, spotsigs, warc
 from signpost.llm.tables import documents, read, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.labelled(documents(spark, sf_dir))
 
 
+@query("op9_token_rollup", rollup.SQL)
+def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and tokens by source, language and tokenizer version after four batches of deltas."""
+    return rollup.corpus_history(spark, sf_dir)
+
+
 @query("op10_mix_sources", mixing.SQL)
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: sources weigh 1, 2, 3, repeating, and share all words."""
