@@ -23,7 +23,6 @@ rows; other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 from collections.abc import Iterator
 
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 
 from signpost.llm.components import connected_components
 from signpost.llm.streams import binary_arrays, runs
-from signpost.llm.tables import materialize
+from signpost.llm.tables import materialize, unique_name
 
 WORDS = re.compile(r"\w+")
 SKETCH = 96
@@ -396,6 +395,15 @@ def near_copies(
     )
 
 
-def runs_for(recall: float, threshold: float) -> int:
-    """Runs after which a pair at the threshold has met in some root with that probability."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - threshold))
+def without_near_copies(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
+    """`docs` with one row of each class: the one of the smallest doc_id (null last), then of the least text digest."""
+    key, drop = unique_name(docs, "near_key"), unique_name(docs, "near_drop")
+    ident = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.md5(F.encode("text", "UTF-8")).alias("t"))
+    found = materialize(near_copies(docs.select(ident.alias("doc_id"), "text"), n, threshold), "near-classes")
+    kept = docs.withColumn(key, ident)
+    if not found.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty():
+        kept = kept.dropDuplicates([key])
+    other = found.where("doc_id <> class_id").select(F.col("doc_id").alias(drop)).distinct()
+    small = other.count() <= 200_000
+    kept = kept.join(F.broadcast(other) if small else other, F.col(key) == F.col(drop), "left_anti")
+    return kept.select(*docs.columns)

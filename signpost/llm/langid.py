@@ -196,7 +196,9 @@ def _spans(text: str, path: np.ndarray, languages: list[str]) -> list[dict]:
     return [{"start": a, "end": b, "lang": languages[path[e]]} for a, b, e in zip(at, at[1:], edges)]
 
 
-def label(docs: DataFrame, model: Model, spans: bool = False, keep: list[str] | None = None) -> DataFrame:
+def label(
+    docs: DataFrame, model: Model, spans: bool = False, keep: list[str] | None = None, text_column: str = "text"
+) -> DataFrame:
     """The columns `keep` (doc_id), lang_pred, score, n_spans for each row.
 
     `spans` adds start, end and lang of each span.
@@ -221,7 +223,7 @@ def label(docs: DataFrame, model: Model, spans: bool = False, keep: list[str] |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordScores(model)
         for batch in batches:
-            out, texts = [], batch.column("text")
+            out, texts = [], batch.column(text_column)
             at = 0
             while at < len(texts):
                 held, chars = [], 0
@@ -251,7 +253,7 @@ def label(docs: DataFrame, model: Model, spans: bool = False, keep: list[str] |
 
     schema = f"{kinds}, lang_pred string, score double, n_spans bigint"
     more = ", spans array<struct<start: bigint, end: bigint, lang: string>>" if spans else ""
-    return docs.select(*dict.fromkeys([*kept, "text"])).mapInArrow(run, schema + more)
+    return docs.select(*dict.fromkeys([*kept, text_column])).mapInArrow(run, schema + more)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -266,8 +268,12 @@ def labelled(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "n_spans")
 
 
-def with_language(docs: DataFrame, language: str) -> DataFrame:
-    """The given columns (doc_id, text, ...) and the language found in column `language`."""
+def with_language(docs: DataFrame) -> DataFrame:
+    """`docs` without the documents that are `und`; their `lang` is the language found."""
     model = train(docs.where(~held_out(F.col("doc_id"))))
-    rows = label(docs, model, keep=docs.columns)
-    return rows.select(*docs.columns, F.col("lang_pred").alias(language))
+    # Columns go by their places, so no name can clash with those of the labels.
+    places = [f"c{n}" for n in range(len(docs.columns))]
+    text = places[docs.columns.index("text")]
+    rows = label(docs.toDF(*places), model, keep=places, text_column=text).where(F.col("lang_pred") != UNKNOWN)
+    found = [F.col("lang_pred" if c == "lang" else p).alias(c) for c, p in zip(docs.columns, places)]
+    return rows.select(*found)
