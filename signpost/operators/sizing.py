@@ -24,13 +24,3 @@ def is_bounded(
 def broadcast_if_bounded(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when `side` is measured to be small; else leave the join to Spark."""
     return F.broadcast(side) if is_bounded(side, max_rows) else side
-
-
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of a compute-heavy step when the input has few files.
-
-    A small file is one task, however much work its rows are. An input of many
-    files is spread already and stays as it is, so large data is not shuffled.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if len(rows.inputFiles()) < cores else rows

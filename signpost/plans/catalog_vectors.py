@@ -9,7 +9,6 @@ from signpost.operators import graph as G
 from signpost.operators import models as M
 from signpost.operators import nearest as N
 from signpost.operators import routing
-from signpost.operators.sizing import spread
 from signpost.plans import classify as K
 from signpost.plans import index as I
 from signpost.plans import views as V
@@ -116,11 +115,11 @@ _TOP = f"WITH {V.REFS}, {V.QUERIES}, {V.ranked_sql('top', 5)}"
 _CLAMPED = clamp_sql("cosine")
 
 
-@query(
-    "topk_candidates",
-    f"""{_TOP} SELECT mid, CAST(rank AS INT) AS rank, code, 1 - cosine AS distance,
-          {_CLAMPED} AS similarity FROM top""",
-)
+_TOP_ROWS = f"""{_TOP} SELECT mid, CAST(rank AS INT) AS rank, code, 1 - cosine AS distance,
+  {_CLAMPED} AS similarity FROM top"""
+
+
+@query("topk_candidates", _TOP_ROWS)
 def topk_candidates(spark, sf):
     return N.topk_candidates(V.query_vectors(spark, sf), V.ref_vectors(spark, sf))
 
@@ -225,6 +224,13 @@ def match_summary(spark, sf):
     return summary.withColumn("avg_similarity", F.round("avg_similarity", 6))
 
 
+@query("topk_candidates_blocked", _TOP_ROWS)
+def topk_candidates_blocked(spark, sf):
+    """The same candidates with the references in many small blocks."""
+    refs, queries = V.ref_vectors(spark, sf), V.query_vectors(spark, sf)
+    return N.topk_candidates(queries, refs, ref_bytes=8_000)
+
+
 @query(
     "union_backfilled_vectors",
     f"""WITH {V.TAXONOMY} SELECT code, coalesce(len(embedding), 512) AS dim
@@ -295,7 +301,7 @@ _SUMMARY = """CAST(sum(n) AS BIGINT) AS trigrams, CAST(sum(n * (bucket + 1)) AS
         SELECT doc_id, {_SUMMARY} FROM tri GROUP BY doc_id""",
 )
 def embed_texts(spark, sf):
-    rows = M.embed_texts(spread(V.table(spark, sf, "documents"), "doc_id"), "text")
+    rows = M.embed_texts(V.table(spark, sf, "documents"), "text")
     return _vector_summary(rows.filter(F.col("error").isNull()), "doc_id")
 
 
@@ -314,7 +320,7 @@ def embed_distinct(spark, sf):
 _RESULT_FIELDS = """coalesce(big, '') AS "大类", coalesce(big_meaning, '') AS "大类含义",
   coalesce(middle, '') AS "中类", coalesce(middle_meaning, '') AS "中类含义",
   coalesce(small, '') AS "小类", coalesce(small_meaning, '') AS "小类含义",
-  b.code AS "细类职业", coalesce(code_meaning, '') AS "细类含义",
+  coalesce(b.code, '') AS "细类职业", coalesce(code_meaning, '') AS "细类含义",
   coalesce(replace(tasks, chr(10), ' '), '') AS "细类主要工作任务" """
 
 
@@ -330,18 +336,18 @@ _PENDING = f"""{V.POSTINGS}, {V.RESULTS}, {V.RESULT_IDS}, todo AS (
 
 def _result_sql(best: str) -> str:
     return f"""SELECT p.mid AS job_id, {_cut_sql('p.job_intro')} AS job_intro,
-      round({clamp_sql('b.cosine')}, 4) AS similarity_score, {_RESULT_FIELDS}
-    FROM todo p JOIN {best} b ON b.mid = p.mid AND b.rank = 1
+      round(coalesce({clamp_sql('b.cosine')}, 0), 4) AS similarity_score, {_RESULT_FIELDS}
+    FROM todo p LEFT JOIN {best} b ON b.mid = p.mid AND b.rank = 1
     LEFT JOIN taxonomy t ON t.code = b.code"""
 
 
 @query("classify", f"{_TOP}, {V.TAXONOMY}, {_PENDING} {_result_sql('top')}")
 def classify(spark, sf):
-    """Pending postings with a given vector -> result rows."""
+    """All pending postings -> result rows; one without a vector has a blank code."""
     refs = V.ref_vectors(spark, sf)
     graph = materialize(N.neighbor_graph(refs), "graph")
     todo = K.pending_postings(V.postings(spark, sf), V.results(spark, sf))
-    ready = todo.join(V.query_vectors(spark, sf), "mid")
+    ready = todo.join(V.query_vectors(spark, sf), "mid", "left")
     return K.classify_vectors(ready, refs, graph, V.taxonomy(spark, sf))
 
 
@@ -393,9 +399,11 @@ def classify_text(spark, sf):
         {_result_sql('top')} WHERE {clamp_sql('b.cosine')} >= {REJECT_BELOW}""",
 )
 def classify_rejecting(spark, sf):
-    """All postings with a text, whatever their status; weak matches are dropped."""
+    """All postings with a text, whatever their status; those without a good match are dropped."""
     refs = V.ref_vectors(spark, sf)
-    ready = routing.all_matchable(V.postings(spark, sf)).join(V.query_vectors(spark, sf), "mid")
+    ready = routing.all_matchable(V.postings(spark, sf)).join(
+        V.query_vectors(spark, sf), "mid", "left"
+    )
     return K.classify_vectors(
         ready,
         refs,
