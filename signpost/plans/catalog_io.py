@@ -127,14 +127,15 @@ def read_manifest(spark, sf):
     "write_results",
     f"""{_TOP}, {V.TAXONOMY}, {V.POSTINGS}
         SELECT p.mid AS job_id, {_cut_sql('p.job_intro')} AS job_intro,
-          printf('%.4f', round({clamp_sql('b.cosine')}, 4)) AS similarity_score, {_RESULT_FIELDS}
-        FROM postings p JOIN top b ON b.mid = p.mid AND b.rank = 1
+          printf('%.4f', round(coalesce({clamp_sql('b.cosine')}, 0), 4)) AS similarity_score, {_RESULT_FIELDS}
+        FROM postings p LEFT JOIN top b ON b.mid = p.mid AND b.rank = 1
         LEFT JOIN taxonomy t ON t.code = b.code""",
 )
 def write_results(spark, sf):
     """Result rows written as CSV and read back as text."""
     top = N.best_match(N.topk_candidates(V.query_vectors(spark, sf), V.ref_vectors(spark, sf)))
-    matches = V.postings(spark, sf).join(top, "mid")
+    # A posting without a match has a row as well.
+    matches = V.postings(spark, sf).join(top, "mid", "left").fillna(0.0, ["similarity"])
     path = scratch_dir(spark, "results")
     W.write_results(G.result_rows(G.attach_taxonomy(matches, V.taxonomy(spark, sf))), path)
     schema = ", ".join(f"`{c}` string" for c in RESULT_COLUMNS)
@@ -216,12 +217,13 @@ def enriching_model():
 )
 def enrich_records(spark, sf):
     pending = routing.pending_enrichment(V.taxonomy(spark, sf))
-    done = M.enrich_records(pending, enriching_model, retries=1, pause=0.0, tag="stub-enrich")
+    done = M.enrich_records(pending, enriching_model, retries=1, pause=0.0)
+    good = F.col("error").isNull()
     return done.select(
         "code",
-        "overview",
-        F.array_join("duties", "|").alias("duties"),
-        F.col("error").isNotNull().alias("failed"),
+        F.when(good, F.col("overview")).alias("overview"),
+        F.when(good, F.array_join("duties", "|")).alias("duties"),
+        (~good).alias("failed"),
     )
 
 
@@ -256,7 +258,7 @@ def structure_postings(spark, sf):
     rows = V.postings(spark, sf).withColumns(blank)
     stamp = F.lit(LOADED_AT).cast("timestamp")
     pending = routing.pending_structuring(rows)
-    answers = M.structure_postings(pending, structuring_model, stamp, tag="stub-structure")
+    answers = M.structure_postings(pending, structuring_model, stamp)
     # Model calls are expensive: their answers are written before they are applied.
     applied = store.apply_structured(rows, materialize(answers, "answers"))
     return applied.select("mid", "structured_summary", "structured_skills")
