@@ -63,7 +63,7 @@ def backfill_missing(postings: DataFrame, results: DataFrame, limit: int | None
 
 def mark_processed(store: DataFrame, results: DataFrame) -> DataFrame:
     """Status becomes processed for every id with a result row."""
-    done = results.select("mid").distinct().withColumn("has_result", F.lit(True))
+    done = results.select(trim_u("mid").alias("mid")).distinct().withColumn("has_result", F.lit(True))
     status = F.when(F.col("has_result"), F.lit(STATUS_DONE)).otherwise(F.col("status"))
     return store.join(done, "mid", "left").withColumn("status", status).drop("has_result")
 
@@ -71,9 +71,10 @@ def mark_processed(store: DataFrame, results: DataFrame) -> DataFrame:
 def update_by_key(table: DataFrame, changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Overwrite `columns` of the rows with a change; others keep their values.
 
-    `changes` has one row per key. A row of it with null in a column sets null.
+    A change with null in a column sets null. Of several changes to a key the greatest, by
+    `columns`, is taken, so no row of the table is multiplied.
     """
-    new = changes.select(key, F.struct(*columns).alias("_new"))
+    new = changes.groupBy(key).agg(F.max(F.struct(*columns)).alias("_new"))
     joined = table.join(new, key, "left")
     updated = {
         c: F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c))

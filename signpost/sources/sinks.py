@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from signpost.functions.payloads import taxonomy_metadata
 from signpost.functions.vectors import normalize_vector
+from signpost.operators.reconcile import dedup_keep_first
+from signpost.operators.store import apply_enrichment
 from signpost.schema import TAXONOMY_LIST_FIELDS, TAXONOMY_OVERVIEW_FIELD, TAXONOMY_TEXT_FIELDS
+from signpost.session import materialize
 
 _CSV = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "lineSep": "\n"}
 
@@ -23,7 +26,10 @@ def write_ignored(ignored_rows: DataFrame, path: str) -> None:
 
 
 def vector_rows(embedded: DataFrame) -> DataFrame:
-    """Taxonomy rows with `document` and a raw `embedding` -> entries of the vector table."""
+    """Taxonomy rows with `document` and a raw `embedding` -> entries of the vector table.
+
+    One entry per code: the first row of a code that has a vector.
+    """
     unit = embedded.filter(F.coalesce("code", F.lit("")) != "").select(
         "code",
         normalize_vector("embedding").alias("embedding"),
@@ -31,7 +37,7 @@ def vector_rows(embedded: DataFrame) -> DataFrame:
         taxonomy_metadata().alias("metadata"),
         "ordinal",
     )
-    return unit.filter(F.col("embedding").isNotNull())
+    return dedup_keep_first(unit.filter(F.col("embedding").isNotNull()), "code", "ordinal")
 
 
 def write_vectors(entries: DataFrame, path: str) -> None:
@@ -66,8 +72,14 @@ def enriched_documents(taxonomy: DataFrame) -> DataFrame:
 
 
 def write_enriched_taxonomy(taxonomy: DataFrame, payloads: DataFrame, path: str) -> bool:
-    """Write the enriched taxonomy only when no record failed; tells whether it did."""
-    if not payloads.filter(F.col("error").isNotNull()).isEmpty():
+    """Write the taxonomy with its payloads only when no record failed; tells whether it did.
+
+    The payloads are written first, so what is checked is what is applied and no model is asked
+    twice.
+    """
+    answers = materialize(payloads, "enrichment")
+    if not answers.filter(F.col("error").isNotNull()).isEmpty():
         return False
-    enriched_documents(taxonomy).write.mode("overwrite").json(path)
+    rows = apply_enrichment(taxonomy, answers) if "overview" in answers.columns else taxonomy
+    enriched_documents(rows).write.mode("overwrite").json(path)
     return True
