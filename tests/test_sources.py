@@ -64,16 +64,36 @@ def test_row_count_rules(spark, tmp_path):
     write(tmp_path / "ragged.csv", "h,g\na,b\nc\nd,e,f\n")
     write(tmp_path / "stray.csv", 'h,g\na,b"c\n')
     write(tmp_path / "empty.csv", "h,g\n")
+    write(tmp_path / "header.csv", "h,g,i\na,b\nc,d\n")
+    write(tmp_path / "quote.csv", 'h,g"x\na,b\n')
 
     def counts(mode):
         rows = D.csv_row_count(spark, str(tmp_path), mode).collect()
         return {os.path.basename(r.path)[:-4]: r.row_count for r in rows}
 
-    assert counts("any") == {"clean": 3, "ragged": 3, "stray": 1}
-    assert counts("keyed") == {"clean": 2, "ragged": 2, "stray": 1}
+    assert counts("any") == {"clean": 3, "ragged": 3, "stray": 1, "header": 2, "quote": 1}
+    assert counts("keyed") == {"clean": 2, "ragged": 2, "stray": 1, "header": 2, "quote": 1}
     assert counts("strict") == {"clean": 3}
 
 
+def test_a_wide_record_leaves_its_neighbours_alone(spark, tmp_path):
+    write(tmp_path / "w.csv", "h,h\na,first of them\nb,wide one" + ",x" * 5001 + "\nc,last of them\n")
+    rows = D.read_postings(spark, str(tmp_path)).orderBy("ordinal").collect()
+    assert [(r.mid, r.job_intro) for r in rows] == [
+        ("a", "first of them"), ("b", "wide one"), ("c", "last of them")
+    ]
+
+
+def test_files_come_in_the_order_of_their_paths(spark, tmp_path):
+    """Whatever their sizes: the reader takes large files first."""
+    write(tmp_path / "a b.csv", "h,h\nk,from the small one\n")
+    write(tmp_path / "b.csv", "h,h\nk,from the large one\n" + "x,text that fills\n" * 20_000)
+    rows = D.read_postings(spark, str(tmp_path)).filter("mid = 'k'").orderBy("ordinal").collect()
+    assert [r.job_intro for r in rows] == ["from the small one", "from the large one"]
+    ids = D.read_ids(spark, str(tmp_path), "id string, t string", "id").filter("mid = 'k'")
+    assert [r.t for r in ids.orderBy("ordinal").collect()] == ["from the small one", "from the large one"]
+
+
 def test_taxonomy_file(spark, tmp_path):
     base = {"大类": "**B** ", "细类（职业）": "1-01", "源行号": 7}
     records = [
