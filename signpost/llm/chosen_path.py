@@ -5,8 +5,8 @@ Texts with equal sets are one class of copies and take part once. In each run a
 token that a run's hash likes best; sets that share the token meet in a node. A node that is too
 large is split again by the tokens that the node's own hash likes best, down to small nodes whose
 members are compared with each other. What still is too large at the last depth is compared in
-blocks. Runs are independent, and more are made until a pair of fresh ones connects almost
-nothing that earlier runs had not connected.
+blocks, and so is a node that hardly got smaller than its parent, as near copies' nodes don't.
+Runs are independent, and more are made until hardly anything that they should connect is missed.
 
 The recursion works on samples of the sets (the `SKETCH` tokens of least hash, whole sets if they
 are smaller), so it carries less than a kilobyte per text, and it only connects: its links,
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signpost.llm.components import connected_components
@@ -39,9 +39,11 @@ from signpost.llm.tables import materialize, unique_name
 WORDS = re.compile(r"\w+")
 SKETCH = 96
 LEAF = 96  # members of a node that are compared with each other
-BLOCK = 192  # members of a component, or of a node at the last depth, in one block
+NODE_BLOCK = 512  # members of a larger node in one block, if it is not split
+BLOCK = 192  # members of a component, with their whole sets, in one block
 DEPTH = 5
 CHILDREN = 2
+DENSE = 0.6  # a node is not split if it has more than this share of its parent's members
 _HELD_WORDS = 500_000
 
 
@@ -132,8 +134,8 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
-def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that connect what the boolean matrix `linked` connects, at most one per row."""
+def _forest(linked: np.ndarray, digests: list[bytes]) -> list[tuple[int, int]]:
+    """Edges from the least digest of what the boolean matrix `linked` connects to each other one."""
     parent = list(range(len(linked)))
 
     def find(i: int) -> int:
@@ -142,13 +144,13 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
             i = parent[i]
         return i
 
-    edges = []
     for i, j in zip(*np.nonzero(np.triu(linked, 1))):
         a, b = find(i), find(j)
         if a != b:
-            parent[max(a, b)] = min(a, b)
-            edges.append((i, j))
-    return edges
+            if digests[b] < digests[a]:
+                a, b = b, a
+            parent[b] = a
+    return [(find(i), i) for i in range(len(linked)) if find(i) != i]
 
 
 def _probably_linked(sets: list[np.ndarray], sizes: np.ndarray, threshold: float) -> np.ndarray:
@@ -177,7 +179,7 @@ def _node_links(threshold: float):
             if i != j:
                 own = np.asarray(node.column("block"))
                 linked &= own[:, None] != own[None, :]
-            edges = _forest(linked)
+            edges = _forest(linked, digests)
             if edges:
                 yield pa.record_batch(
                     [pa.array([digests[x] for x, _ in edges]), pa.array([digests[y] for _, y in edges])], ["a", "b"]
@@ -192,15 +194,17 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths, rows = [], []
         parents = np.asarray(batch.column("path")).view(np.uint64)
         for k, sketch in enumerate(binary_arrays(batch.column("sketch"), np.uint64)):
-            likes = _mixed(sketch ^ parents[k])
-            for token in sketch[np.argsort(likes, kind="stable")[:CHILDREN]]:
-                paths.append(int(_mixed(np.array([token + parents[k]], np.uint64)).view(np.int64)[0]))
-                rows.append(k)
-        kept = batch.select(["digest", "size", "sketch"]).take(pa.array(rows, pa.int32()))
-        yield pa.record_batch([pa.array(paths, pa.int64()), *kept.columns], ["path", "digest", "size", "sketch"])
+            tokens = sketch[np.argsort(_mixed(sketch ^ parents[k]), kind="stable")[:CHILDREN]]
+            paths.append(_mixed(tokens + parents[k]).view(np.int64))
+            rows += [k] * len(tokens)
+        kept = batch.select(["digest", "component", "members", "size", "sketch"]).take(pa.array(rows, pa.int32()))
+        yield pa.record_batch(
+            [pa.array(np.concatenate(paths) if paths else [], pa.int64()), *kept.columns],
+            ["path", "digest", "component", "parent", "size", "sketch"],
+        )
 
 
-def _blocks(rows: DataFrame, count: str, most: int) -> DataFrame:
+def _blocks(rows: DataFrame, count: str, most: Column) -> DataFrame:
     """`rows` once for each pair of blocks (i <= j) of their group that they belong to.
 
     `count` names the column with the size of a row's group; a group of at most `most` has one block.
@@ -223,49 +227,57 @@ def _found(nodes: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInArrow(_node_links(threshold), "a binary, b binary")
 
 
-def candidate_links(sets: DataFrame, classes: DataFrame, first_run: int, count: int, threshold: float) -> DataFrame:
-    """Edges (a, b) between digests that `count` runs of the recursion find."""
+NODES = "path bigint, digest binary, component binary, parent bigint, size int, sketch binary"
+
+
+def candidate_links(reps: DataFrame, groups: DataFrame | None, first_run: int, count: int, threshold: float) -> DataFrame:
+    """Edges (a, b) between the digests of `reps` that `count` runs of the recursion find.
+
+    Only connections count, so a node whose members `groups` (node, component) has joined already
+    is left alone.
+    """
     seeds = _run_seeds(first_run, count)
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths, rows = [], []
-            for k, sketch in enumerate(binary_arrays(batch.column("sketch"), np.uint64)):
-                if len(sketch):
-                    paths.append(_roots(sketch, seeds))
-                    rows += [k] * count
-            if rows:
-                yield pa.record_batch(
-                    [pa.array(np.concatenate(paths)), batch.column("digest").take(pa.array(rows, pa.int32()))],
-                    ["path", "digest"],
-                )
+            found = [_roots(sketch, seeds) for sketch in binary_arrays(batch.column("sketch"), np.uint64)]
+            rows = pa.array(np.repeat(np.arange(len(found)), count), pa.int32())
+            yield pa.record_batch(
+                [pa.array(np.concatenate(found) if found else [], pa.int64()), batch.column("digest").take(rows)], ["path", "digest"]
+            )
 
-    starts = materialize(
-        sets.select("digest", "sketch").mapInArrow(start, "path bigint, digest binary"), "path-starts"
+    starts = reps.select("digest", "sketch").mapInArrow(start, "path bigint, digest binary")
+    if groups is None:
+        starts = starts.withColumn("component", F.col("digest"))
+    else:
+        known = groups.select(F.col("node").alias("digest"), "component")
+        starts = starts.join(known, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    starts = materialize(starts, "path-starts")
+    alone = starts.groupBy("path").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    members = starts.join(alone.select("path"), "path")
+    nodes = materialize(
+        members.join(reps, "digest").select("path", "digest", "component", F.lit(None).cast("long").alias("parent"), "size", "sketch"),
+        "path-nodes",
     )
-    met = starts.groupBy("path").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x < y").select("path")
-    members = materialize(starts.join(met, "path").distinct(), "path-members")
-    live = members.select("digest").distinct().join(classes.select("digest", "first_id"), "digest")
-    held = sets.join(live, "digest").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("digest", "size", "sketch")
-    nodes = members.join(held, "digest")
     edges = []
     for depth in range(DEPTH + 1):
-        sizes = nodes.groupBy("path").agg(F.count("*").alias("members")) if depth else members.groupBy("path").agg(F.count("*").alias("members"))
-        sizes = materialize(sizes.where("members > 1"), "path-sizes")
-        sized = materialize(nodes.join(sizes, "path"), f"path-nodes-{depth}")
-        last = depth == DEPTH
-        ready = sized if last else sized.where(F.col("members") <= LEAF)
-        # Nodes of at most LEAF members are one block.
-        found = _found(_blocks(ready, "members", BLOCK if last else LEAF), threshold)
-        edges.append(materialize(found.distinct(), f"path-edges-{depth}"))
-        if last or sizes.where(F.col("members") > LEAF).isEmpty():
+        sizes = materialize(
+            nodes.groupBy("path")
+            .agg(F.count("*").alias("members"), F.min("component").alias("x"), F.max("component").alias("y"), F.max("parent").alias("of"))
+            .where("x < y")
+            .select("path", "members", (F.col("members") > DENSE * F.col("of")).alias("dense")),
+            "path-sizes",
+        )
+        # A node that did not get much smaller than its parent would not do so further down.
+        split = (F.col("members") > LEAF) & ~F.coalesce("dense", F.lit(False)) & F.lit(depth < DEPTH)
+        sized = nodes.join(sizes, "path")
+        small = F.when(F.col("members") <= LEAF, F.lit(LEAF)).otherwise(F.lit(NODE_BLOCK))
+        edges.append(materialize(_found(_blocks(sized.where(~split), "members", small), threshold).distinct(), "path-edges"))
+        if sizes.where(split).isEmpty():
             break
         nodes = materialize(
-            sized.where(F.col("members") > LEAF)
-            .select("path", "digest", "size", "sketch")
-            .mapInArrow(_split, "path bigint, digest binary, size int, sketch binary")
-            .dropDuplicates(["path", "digest"]),
-            f"path-split-{depth}",
+            sized.where(split).select("path", "digest", "component", "members", "size", "sketch").mapInArrow(_split, NODES),
+            "path-nodes",
         )
     out = edges[0]
     for more in edges[1:]:
@@ -291,10 +303,10 @@ def _exact(threshold: float):
             copies = np.asarray(group.column("copies"))
             counts = linked @ copies
             near: list = [None] * len(digests)
-            for a, b in _forest(linked):
-                near[b] = (near[b] or []) + [digests[a]]
+            for a, b in _forest(linked, digests):
+                near[b] = digests[a]
             yield pa.record_batch(
-                [pa.array(digests), pa.array(counts, pa.int64()), pa.array(near, pa.list_(pa.binary()))],
+                [pa.array(digests), pa.array(counts, pa.int64()), pa.array(near, pa.binary())],
                 ["digest", "links", "near"],
             )
 
@@ -322,14 +334,15 @@ def _whole_sets(docs: DataFrame, live: DataFrame, n: int) -> DataFrame:
 
 
 def near_copies(
-    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, first_runs: int = 6, audit_runs: int = 2,
-    most_runs: int = 24,
+    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, first_runs: int = 2, more_runs: int = 6,
+    most_runs: int = 32,
 ) -> DataFrame:
     """doc_id, class_id, n_links of every document.
 
     `n_links` counts the other documents of at least that likeness, copies included; classes are
-    what links connect. Runs are added, `audit_runs` at a time, until `recall` of the links that
-    the last ones found lie within components of earlier ones.
+    what links connect. After `first_runs`, runs are added `more_runs` at a time. What share of the
+    connections the added ones had to make tells how likely a run is to miss one; runs end when
+    all of them are likely to have found the share `recall`.
     """
     docs = docs.select("doc_id", "text")
     sets = materialize(sketches(docs, n), "path-sets")
@@ -339,21 +352,25 @@ def near_copies(
         ),
         "path-classes",
     )
+    firsts = classes.where("size > 0").select("digest", "first_id")
+    reps = materialize(
+        sets.join(firsts, "digest")
+        .where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+        .select("digest", "size", "sketch")
+        .dropDuplicates(["digest"]),
+        "path-reps",
+    )
     made = first_runs
-    edges = materialize(candidate_links(sets, classes, 0, made, threshold).distinct(), "path-links")
+    edges = candidate_links(reps, None, 0, made, threshold)
     groups = materialize(connected_components(edges), "path-groups")
     while made < most_runs:
-        fresh = materialize(candidate_links(sets, classes, made, audit_runs, threshold).distinct(), "path-audit")
-        made += audit_runs
-        sides = fresh
-        for side in ("a", "b"):
-            known = groups.select(F.col("node").alias(side), F.col("component").alias(f"{side}_in"))
-            sides = sides.join(known, side, "left")
-        total, seen = sides.agg(F.count("*"), F.count_if(F.expr("a_in = b_in"))).first()
-        if total > seen:
-            joined = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(fresh)
-            groups = materialize(connected_components(joined), "path-groups")
-        if seen >= recall * total:
+        before = _connections(groups)
+        fresh = candidate_links(reps, groups, made, more_runs, threshold)
+        joined = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(fresh)
+        groups = materialize(connected_components(joined), "path-groups")
+        missed = 1 - before / max(1, _connections(groups))
+        earlier, made = made, made + more_runs
+        if missed ** (made / earlier) <= 1 - recall:
             break
     sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
     live = materialize(
@@ -363,15 +380,15 @@ def near_copies(
         "path-live",
     )
     whole = _whole_sets(docs, live, n).dropDuplicates(["digest"])
-    dealt = _blocks(whole, "members", BLOCK).select("component", "i", "j", "block", "digest", "copies", "grams")
+    dealt = _blocks(whole, "members", F.lit(BLOCK)).select("component", "i", "j", "block", "digest", "copies", "grams")
     compared = materialize(
         dealt.repartition("component", "i", "j")
         .sortWithinPartitions("component", "i", "j")
-        .mapInArrow(_exact(threshold), "digest binary, links bigint, near array<binary>"),
+        .mapInArrow(_exact(threshold), "digest binary, links bigint, near binary"),
         "path-exact",
     )
     links = compared.groupBy("digest").agg(F.sum("links").alias("links"))
-    exact = compared.select(F.col("digest").alias("a"), F.explode("near").alias("b"))
+    exact = compared.where("near is not null").select(F.col("near").alias("a"), F.col("digest").alias("b"))
     named = connected_components(exact)
     heads = (
         classes.join(named.select(F.col("node").alias("digest"), "component"), "digest", "left")
@@ -395,6 +412,11 @@ def near_copies(
     )
 
 
+def _connections(groups: DataFrame) -> int:
+    """Edges of a spanning forest."""
+    return groups.where("node <> component").count()
+
+
 def without_near_copies(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
     """`docs` with one row of each class: the one of the smallest doc_id (null last), then of the least text digest."""
     key, drop = unique_name(docs, "near_key"), unique_name(docs, "near_drop")

@@ -68,6 +68,7 @@ def answers(spark, rows, **more):
 def test_against_all_pairs(spark, monkeypatch):
     # Small limits, so that nodes are split to the last depth and components span blocks.
     monkeypatch.setattr(chosen_path, "LEAF", 8)
+    monkeypatch.setattr(chosen_path, "NODE_BLOCK", 16)
     monkeypatch.setattr(chosen_path, "BLOCK", 16)
     rows = corpus()
     assert answers(spark, rows) == brute(rows)
