@@ -39,8 +39,8 @@ ARTICLE_TAGS = frozenset("article main".split())
 # Parts of class, id and role that name furniture, and those that name the article.
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent "
-    "gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social related "
-    "recommended recommendations sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead "
+    "gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login share sharing social related "
+    "recommended recommendations sidebar sidebars side menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead "
     "comment comments disqus reply replies respond discussion search searchbox widget toolbar pagination pager copyright "
     "legal disclaimer complementary contentinfo".split()
 )
@@ -75,10 +75,17 @@ def _standing(tag: str, attributes: str, article: bool, furniture: bool) -> tupl
             furniture = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             furniture = True
-    if tag in ARTICLE_TAGS:
-        return True, furniture or bool(named & FURNITURE_WORDS)
+    named_furniture = named & FURNITURE_WORDS
+    # The whole page may be named after its sidebar.
+    if tag in ("body", "main"):
+        return article or tag == "main", furniture
     # A header within an article holds its title; one of the page is furniture.
-    if tag in FURNITURE_TAGS or tag == "header" and not article or named & FURNITURE_WORDS:
+    inside = article or bool(named & ARTICLE_WORDS)
+    if named_furniture == {"header"} and inside:
+        named_furniture = set()
+    if tag in ARTICLE_TAGS:
+        return True, furniture or bool(named_furniture)
+    if tag in FURNITURE_TAGS or tag == "header" and not article or named_furniture:
         return article, True
     return article or bool(named & ARTICLE_WORDS), furniture
 

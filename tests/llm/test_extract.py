@@ -23,6 +23,8 @@ TREE = extract.trained()
         ("<article><p>x</p><form><p>mail</p></form><ul class='share'><li>y</li></ul><table><tr><td>1</td></tr></table></article>", "x\n\n1"),
         ("<article><p>cut off here <b>and <a href='x", "cut off here and"),
         ("<article><p hidden>no</p><div style='display:none'>no</div><div role='alert'>no</div><p>1 < 2</p></article>", "no\n\n1 < 2"),
+        ("<body class='has-sidebar'><article><div class='article-header'><h1>T</h1></div><p>x</p></article></body>", "T\n\nx"),
+        ("<main><article class='comment'><p>what a fine text this is</p></article><p>x</p></main>", "x"),
         ("<style>p{}</style><title>t</title><article><textarea>no</textarea>yes</article>", "yes"),
     ],
 )
