@@ -17,7 +17,6 @@ rows; other columns are not looked at.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +31,7 @@ WORDS = re.compile(r"[^\W\d_]+")
 FEATURES = 1 << 15
 SWITCH = 12.0  # what a change of language costs, in nats
 CLIP = 6.0  # the most that one word says against a language
-_HELD_WORDS = 300_000
+_HELD_WORDS = 500_000
 _SLICE = 1_000_000  # characters handled at a time
 
 # First and last code point of the letters of a script.
@@ -63,18 +62,41 @@ def script_of(word: str) -> int:
     return OTHER
 
 
-def features(word: str) -> list[int]:
-    """Hashed letter n-grams of one to three letters with the word's edges, and the word."""
-    edged = f"<{word}>"
-    grams = [edged[i : i + n] for n in (1, 2, 3) for i in range(len(edged) - n + 1)]
-    grams.append(f"={word}")
-    return [zlib.crc32(g.encode()) % FEATURES for g in grams]
+def _hashed(x: np.ndarray, kind: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x + np.uint64(kind)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((x >> np.uint64(40)) % np.uint64(FEATURES)).astype(np.int64)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, word's place) of all words: hashed n-grams of one to three letters with the
+    word's edges, and the word itself."""
+    letters = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    owner = np.repeat(np.arange(len(words)), sizes)
+    starts = np.cumsum(sizes) - sizes
+    step = np.uint64(1 << 21)
+    with np.errstate(over="ignore"):
+        two = letters[:-1] * step + letters[1:]
+        three = two[:-1] * step + letters[2:]
+        place = np.arange(len(letters)) - starts[owner]
+        powers = np.cumprod(np.full(int(sizes.max(initial=1)) + 1, 1_000_003, np.uint64))
+        whole = np.add.reduceat(letters * powers[place], starts) if len(words) else np.empty(0, np.uint64)
+    inside2, inside3 = owner[:-1] == owner[1:], owner[:-2] == owner[2:]
+    found = [_hashed(letters, 1), _hashed(two[inside2], 2), _hashed(three[inside3], 3), _hashed(whole, 4)]
+    owners = [owner, owner[:-1][inside2], owner[:-2][inside3], np.arange(len(words))]
+    return np.concatenate(found), np.concatenate(owners)
 
 
 def words_of(text: str | None) -> list[str]:
     return WORDS.findall(text.lower()) if text else []
 
 
+def _slices(words: list[str], size: int = 50_000) -> Iterator[list[str]]:
+    for start in range(0, len(words), size):
+        yield words[start : start + size]
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of features and scripts per language, a few languages at a time."""
     held: dict[str, np.ndarray] = {}
@@ -95,10 +117,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words.setdefault(lang, Counter()).update(words_of(text.as_py()))
         for lang, seen in words.items():
             counts = held.setdefault(lang, np.zeros(FEATURES + OTHER + 1, np.int64))
-            for word, times in seen.items():
-                for f in features(word):
-                    counts[f] += times
-                counts[FEATURES + script_of(word)] += times
+            for some in _slices(list(seen)):
+                times = np.fromiter(map(seen.__getitem__, some), np.int64, len(some))
+                feature, owner = features(some)
+                counts += np.bincount(feature, times[owner], len(counts)).astype(np.int64)
+                script = np.fromiter(map(script_of, some), np.int64, len(some))
+                counts += np.bincount(FEATURES + script, times, len(counts)).astype(np.int64)
         if len(held) > 50:
             yield from flush()
     yield from flush()
@@ -136,27 +160,28 @@ class _WordScores(dict):
 
     def __init__(self, model: Model):
         self.model = model
-        self.rows = np.zeros((1024, len(model.languages)), np.float32)
-
-    def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        uses = self.model.scripts[script_of(word)]
-        score = self.model.weights[features(word)].sum(axis=0) / 2
-        if uses.any():
-            score = np.where(uses, score, -np.inf)
-            self.rows[at] = np.maximum(score - score[uses].max(), -CLIP)
-        else:
-            self.rows[at] = 0
-        self[word] = at
-        return at
+        self.weights = np.ascontiguousarray(model.weights.T)
+        self.rows = np.zeros((0, len(model.languages)), np.float32)
+
+    def _learn(self, words: list[str]) -> None:
+        feature, owner = features(words)
+        score = np.column_stack([np.bincount(owner, w[feature], len(words)) for w in self.weights]) / 2
+        uses = self.model.scripts[np.fromiter(map(script_of, words), np.int64, len(words))]
+        # A script that no language uses leaves all of them.
+        none = ~uses.any(axis=1)
+        score = np.where(uses, score, -np.inf)
+        score[none] = 0
+        best = score.max(axis=1, keepdims=True)
+        self.update(zip(words, range(len(self), len(self) + len(words))))
+        self.rows = np.concatenate([self.rows, np.maximum(score - best, -CLIP).astype(np.float32)])
 
     def of(self, words: list[str]) -> np.ndarray:
         if len(self) > _HELD_WORDS:
             self.clear()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.rows[at]
+            self.rows = self.rows[:0]
+        for some in _slices(list(set(words) - self.keys())):
+            self._learn(some)
+        return self.rows[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
 
 
 def viterbi(scores: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
@@ -165,8 +190,11 @@ def viterbi(scores: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
     best = int(totals.argmax())
     gains = np.cumsum(scores - scores[:, best : best + 1], axis=0, dtype=np.float64)
     lowest = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gains[:-1]]), axis=0)
-    # If no stretch of another language gains half a penalty, no path beats the one without changes.
-    if (gains - lowest).max() <= penalty / 2:
+    # A path with k stretches of other languages pays at least k penalties, or k - 1 if it has no
+    # word in the best one. So none beats the path without changes if no stretch gains more than
+    # a penalty, and a first and a last one together don't either.
+    ends = max(gains.max(), 0.0) + max((gains[-1] - gains).max(), gains[-1].max(), 0.0)
+    if (gains - lowest).max() <= penalty and ends <= penalty:
         return np.full(len(scores), best)
     rows = scores.tolist()
     now, came = rows[0], []
