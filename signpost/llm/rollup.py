@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signpost.llm.tables import read
+from signpost.llm.tables import materialize, read
 from signpost.session import scratch_dir
 
 KEYS = ["source", "lang", "version"]
@@ -124,15 +124,22 @@ def corpus_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     move to the source `curated`. The second batch comes again at the end, and the first two are
     folded in between.
     """
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    labels = read(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     old, new = "spaces-1", "marks-2"
+    text = F.col("text")
+    # Texts are counted where they are read; from then on only numbers travel.
+    docs = materialize(
+        read(spark, sf_dir, "documents").select(
+            "doc_id", "source", "lang", token_count(text, old).alias("by_old"), token_count(text, new).alias("by_new")
+        ),
+        "rollup-counts",
+    )
+    labels = read(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     odd = F.coalesce(F.col("doc_id") % 2 != 0, F.lit(False))
-    text, source, lang = F.col("text"), F.col("source"), F.col("lang")
+    source, lang = F.col("source"), F.col("lang")
     rollup = Rollup(spark, scratch_dir(spark, "rollup"))
 
-    plain = side(source, lang, old, token_count(text, old))
-    marked = side(source, lang, new, token_count(text, new))
+    plain = side(source, lang, old, F.col("by_old"))
+    marked = side(source, lang, new, F.col("by_new"))
     standing = F.when(odd, marked).otherwise(plain)
     none = F.lit(None).cast("struct<source: string, lang: string, version: string, tokens: bigint>")
     curated = standing.withField("source", F.lit("curated"))
