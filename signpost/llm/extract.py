@@ -45,6 +45,8 @@ FURNITURE_WORDS = frozenset(
     "legal disclaimer complementary contentinfo".split()
 )
 ARTICLE_WORDS = frozenset("article content post entry story maincontent articlebody".split())
+# What follows these in a name says what the element has or is about, not what it is.
+MODIFIERS = frozenset("has with without no category tag".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']++|"[^"<]*"|'[^'<]*')*+|[^>]*)>""", re.S
@@ -65,12 +67,21 @@ class Block:
 
 
 def _standing(tag: str, attributes: str, article: bool, furniture: bool) -> tuple[bool, bool]:
-    """(in article, in furniture) within a container."""
+    """(in article, in furniture) within a container.
+
+    One that has a name of the article and another of furniture is not furniture by its names; unless
+    it is an article element, its blocks are then judged by words and links.
+    """
     named: set[str] = set()
+    plain_article = False
     for name, value in _ATTRIBUTE.findall(attributes) if attributes.strip() else ():
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id", "role"):
-            named.update(part.lower() for part in _NAME_PART.findall(value))
+            for word in value.split():
+                parts = [part.lower() for part in _NAME_PART.findall(word)]
+                parts = parts[: next((k for k, part in enumerate(parts) if part in MODIFIERS), len(parts))]
+                named.update(parts)
+                plain_article |= not ARTICLE_WORDS.isdisjoint(parts) and FURNITURE_WORDS.isdisjoint(parts)
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             furniture = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -83,6 +94,8 @@ def _standing(tag: str, attributes: str, article: bool, furniture: bool) -> tupl
     inside = article or bool(named & ARTICLE_WORDS)
     if named_furniture == {"header"} and inside:
         named_furniture = set()
+    if named_furniture and plain_article and tag not in FURNITURE_TAGS and tag != "header":
+        return article or tag in ARTICLE_TAGS, furniture
     if tag in ARTICLE_TAGS:
         return True, furniture or bool(named_furniture)
     if tag in FURNITURE_TAGS or tag == "header" and not article or named_furniture:
@@ -258,6 +271,8 @@ LABELLED = [
     ),
     (f'<p>Tuesday</p><p>Edition four</p><p>Price one crown</p><h1>Fog</h1><p>{_PROSE}</p><p>{_MORE}</p><p>Printed in town</p><p>Page one</p>', "000 111 00"),
     (f"<section><h2>Harvest</h2><p>{_MORE}</p></section><p>Contact us</p>", "11 0"),
+    (f'<article class="post category-social has-comments"><h1>Nets</h1><p>{_PROSE}</p><p>Mend them.</p></article><p>Older</p>', "111 0"),
+    (f'<div class="content social"><p>{_PROSE}</p><p>{_MORE}</p></div><p>Newer</p>', "11 0"),
 ]
 
 

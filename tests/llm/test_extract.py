@@ -66,3 +66,22 @@ def test_query(spark):
         parts = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>", "", inner).replace("<br>", " "))
         want = "\n\n".join(t for p in parts if (t := " ".join(html.unescape(p).split())))
         assert got[page.page_id].text == want and got[page.page_id].n_chars == len(want)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article class='post category-social'><p>x</p></article>", "x"),
+        ("<article class='post has-comments'><h1>T</h1><p>x</p></article>", "T\n\nx"),
+        ("<article class='has-comments'><p>x</p></article>", "x"),
+        ("<article id='post-7' class='social'><p>x</p></article>", "x"),
+        ("<div class='content with-sidebar'><p>x</p><div class='sidebar'><p>what a fine text this is</p></div></div>", "x"),
+        ("<div class='content--with-sidebar'><p>x</p></div>", "x"),
+        (f"<div class='content social'><p>{extract._PROSE}</p><p>{extract._MORE}</p></div>", f"{extract._PROSE}\n\n{extract._MORE}"),
+        ("<article><p>x</p><div class='post-comments'><p>what a fine text this is</p></div></article>", "x"),
+        ("<article><p>x</p><article class='related-post'><p>what a fine text this is</p></article></article>", "x"),
+        ("<article><p>x</p><aside class='post related'><p>what a fine text this is</p></aside></article>", "x"),
+    ],
+)
+def test_articles_with_furniture_words(page, text):
+    assert extract.main_text(page, TREE) == text
