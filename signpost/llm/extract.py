@@ -6,7 +6,8 @@ within page furniture. A decision tree, trained on the labelled pages below, say
 are main text.
 
 Defined results: a null or empty page has the empty text; pages without main text too; broken
-or unclosed markup is read as far as it goes, and an unfinished tag at the end is dropped; no
+or unclosed markup is read as far as it goes (of an element that is skipped but never closed only
+the tag is skipped, unless it holds raw text), and an unfinished tag at the end is dropped; no
 block is cut or capped; repeated rows give repeated results; an empty table gives no rows; other
 columns are not looked at.
 """
@@ -31,6 +32,10 @@ BLOCK_TAGS = frozenset(
 SKIPPED_TAGS = frozenset(
     "script style title textarea select button noscript template svg math iframe object canvas audio video".split()
 )
+# These hold text to their end tag, whatever it looks like; without one, to the end of the page.
+RAW_TAGS = frozenset("script style title textarea".split())
+# Of these, a self-closed one is empty.
+FOREIGN_TAGS = frozenset("svg math".split())
 CONTAINER_TAGS = frozenset(
     "article aside blockquote body details dialog div dl fieldset figure footer form header main menu nav ol section table td ul".split()
 )
@@ -103,12 +108,38 @@ def _standing(tag: str, attributes: str, article: bool, furniture: bool) -> tupl
     return article or bool(named & ARTICLE_WORDS), furniture
 
 
+def _ends(page: str, at: int) -> dict[int, int]:
+    """Where the skipped elements after `at` end, by the ends of their start tags; those without an end tag are left out."""
+    ends: dict[int, int] = {}
+    started: dict[str, list[int]] = {}
+    size = len(page)
+    while at < size and (token := _TOKEN.search(page, at)):
+        at = token.end()
+        tag = (token.group(2) or "").lower()
+        if tag not in SKIPPED_TAGS:
+            continue
+        if token.group(1) == "/":
+            if started.get(tag):
+                ends[started[tag].pop()] = at
+        elif tag in RAW_TAGS:
+            at = _raw_end(page, tag, at)
+        elif not (tag in FOREIGN_TAGS and token.group(3).endswith("/")):
+            started.setdefault(tag, []).append(at)
+    return ends
+
+
+def _raw_end(page: str, tag: str, at: int) -> int:
+    end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order."""
     found: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    ends: dict[int, int] | None = None
     links = heading = 0
 
     def close() -> None:
@@ -140,8 +171,12 @@ def blocks(page: str) -> list[Block]:
         closing = token.group(1) == "/"
         if tag in SKIPPED_TAGS:
             if not closing:
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
+                if tag in RAW_TAGS:
+                    at = _raw_end(page, tag, at)
+                elif not (tag in FOREIGN_TAGS and token.group(3).endswith("/")):
+                    if ends is None:
+                        ends = _ends(page, token.start())
+                    at = ends.get(at, at)
                 if tag in BLOCK_TAGS:
                     close()
             continue

@@ -85,3 +85,21 @@ def test_query(spark):
 )
 def test_articles_with_furniture_words(page, text):
     assert extract.main_text(page, TREE) == text
+
+
+@pytest.mark.parametrize("tag", sorted(extract.SKIPPED_TAGS - extract.RAW_TAGS))
+def test_unclosed_skipped_elements(tag):
+    assert extract.main_text(f"<{tag}><article><p>x</p></article>", TREE) == "x"
+    assert extract.main_text(f"<article><p>x</p><{tag} a='b'><p>y</p></article>", TREE) == "x\n\ny"
+    # Another element's end tag does not close it.
+    assert extract.main_text(f"<{tag}><article><p>x</p><{tag}>no</{tag}><p>y</p></article>", TREE) == "x\n\ny"
+    assert extract.main_text(f"<article><p>x<{tag}>no<{tag}>no</{tag}>no</{tag}></p><p>y</p></article>", TREE) == "x\n\ny"
+    assert extract.main_text(f"<{tag}><script>'</{tag}>'</script><!-- </{tag}> --><article><p>x</p></article>", TREE) == "x"
+    assert extract.main_text("<article>" + f"<{tag}>" * 20_000 + "x</article>", TREE) == "x"
+
+
+def test_self_closed_elements():
+    assert extract.main_text("<article><p>x <svg a='b'/> y</p><math/><p>z</p><svg>no</svg></article>", TREE) == "x y\n\nz"
+    assert extract.main_text("<article><p>x</p><iframe src='u' /><p>y</p></article>", TREE) == "x\n\ny"
+    assert extract.main_text("<article><p>x</p><svg><svg/>no</svg><p>y</p></article>", TREE) == "x\n\ny"
+    assert extract.main_text("<article><p>x</p><script>no <p>no</p></article>", TREE) == "x"
