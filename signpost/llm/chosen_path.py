@@ -330,7 +330,21 @@ def _whole_sets(docs: DataFrame, live: DataFrame, n: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("first_id"), "text")
     joined = texts.join(F.broadcast(live) if small else live, "first_id")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in live.schema.fields)
-    return joined.select(*names, "text").mapInArrow(make, f"{kinds}, grams binary")
+    found = joined.select(*names, "text").mapInArrow(make, f"{kinds}, grams binary")
+    # Classes of rows without an id have no other name than their digest.
+    nameless = live.where("first_id is null")
+    if nameless.isEmpty():
+        return found
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for batch in batches:
+            grams = [gram_set(t.as_py(), n, hashes).tobytes() for t in batch.column("text")]
+            digests = [hashlib.md5(g).digest() for g in grams]
+            yield pa.record_batch([pa.array(digests, pa.binary()), pa.array(grams, pa.binary())], ["digest", "grams"])
+
+    named = docs.where("doc_id is null").select("text").mapInArrow(name, "digest binary, grams binary")
+    return found.union(named.join(nameless, "digest").select(*names, "grams"))
 
 
 def near_copies(

@@ -101,3 +101,11 @@ def test_shared_counts():
         for j, b in enumerate(sets):
             if i != j:
                 assert got[i, j] == len(np.intersect1d(a, b))
+
+
+def test_near_copies_without_ids(spark):
+    long = " ".join(f"word{i}" for i in range(80))
+    other = " ".join(f"other{i}" for i in range(80))
+    rows = [(1, long), (None, long + " more"), (None, other), (None, other + " more"), (7, "nothing like any of them at all")]
+    got = chosen_path.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, 1, 1), (None, 1, 1), (None, None, 1), (None, None, 1), (7, 7, 0)], key=str)
