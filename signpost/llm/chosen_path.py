@@ -349,14 +349,13 @@ def _whole_sets(docs: DataFrame, live: DataFrame, n: int) -> DataFrame:
 
 def near_copies(
     docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999, first_runs: int = 2, more_runs: int = 6,
-    most_runs: int = 32,
 ) -> DataFrame:
     """doc_id, class_id, n_links of every document.
 
     `n_links` counts the other documents of at least that likeness, copies included; classes are
     what links connect. After `first_runs`, runs are added `more_runs` at a time. What share of the
     connections the added ones had to make tells how likely a run is to miss one; runs end when
-    all of them are likely to have found the share `recall`.
+    all of them are likely to have found the share `recall`, or when the added ones leave none at all.
     """
     docs = docs.select("doc_id", "text")
     sets = materialize(sketches(docs, n), "path-sets")
@@ -377,12 +376,13 @@ def near_copies(
     made = first_runs
     edges = candidate_links(reps, None, 0, made, threshold)
     groups = materialize(connected_components(edges), "path-groups")
-    while made < most_runs:
+    while True:
         before = _connections(groups)
         fresh = candidate_links(reps, groups, made, more_runs, threshold)
         joined = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(fresh)
         groups = materialize(connected_components(joined), "path-groups")
-        missed = 1 - before / max(1, _connections(groups))
+        after = _connections(groups)
+        missed = 1 - before / after if after else 0.0
         earlier, made = made, made + more_runs
         if missed ** (made / earlier) <= 1 - recall:
             break

@@ -109,3 +109,15 @@ def test_near_copies_without_ids(spark):
     rows = [(1, long), (None, long + " more"), (None, other), (None, other + " more"), (7, "nothing like any of them at all")]
     got = chosen_path.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(1, 1, 1), (None, 1, 1), (None, None, 1), (None, None, 1), (7, 7, 0)], key=str)
+
+
+def test_runs_end_by_the_estimate(spark, monkeypatch):
+    runs, links = [], chosen_path.candidate_links
+    monkeypatch.setattr(chosen_path, "candidate_links", lambda r, g, first, *more: runs.append(first) or links(r, g, first, *more))
+    frame = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(4)], "doc_id long, text string")
+    assert all(r.n_links == 0 for r in chosen_path.near_copies(frame).collect()) and runs == [0, 2]
+    runs.clear()
+    counts = iter([1, 2, 2, 3, 3, 3])
+    monkeypatch.setattr(chosen_path, "_connections", lambda groups: next(counts))
+    chosen_path.near_copies(frame, more_runs=16)
+    assert runs == [0, 2, 18, 34]
