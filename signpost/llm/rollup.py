@@ -7,8 +7,8 @@ of its signed rows by source, language and tokenizer version. Totals are the sum
 committed batches, so they never need the documents again.
 
 A batch is idempotent: it is written under its number, so a batch that failed half-way or is sent
-again replaces itself, and only folders that were committed as a whole are read. `compact` folds
-the batches up to a number into one snapshot; batches up to that number are then neither read nor
+again replaces itself, and only folders that were committed as a whole are read. Batches are
+numbered from 0. `compact` folds the batches up to the first number not committed into one snapshot; batches up to that number are then neither read nor
 written again.
 
 Sums are partial before they are shuffled, so a source that holds most events costs one row per
@@ -103,17 +103,20 @@ class Rollup:
         added(signed(events)).write.mode("overwrite").parquet(f"{self.path}/batch-{batch}")
 
     def totals(self) -> DataFrame:
-        upto, batches = self.committed()
+        return self._sums(*self.committed())
+
+    def _sums(self, upto: int, batches: list[int]) -> DataFrame:
         paths = [f"{self.path}/batch-{n}" for n in batches] + ([f"{self.path}/upto-{upto}"] if upto >= 0 else [])
         if not paths:
             return self.spark.createDataFrame([], TOTALS)
         return added(self.spark.read.schema(TOTALS).parquet(*paths))
 
     def compact(self) -> None:
-        """Fold all committed batches into one snapshot."""
-        _, batches = self.committed()
-        if batches:
-            self.totals().write.mode("overwrite").parquet(f"{self.path}/upto-{batches[-1]}")
+        """Fold the committed batches up to the first missing number, which may still come, into one snapshot."""
+        upto, batches = self.committed()
+        whole = [n for k, n in enumerate(batches, upto + 1) if n == k]
+        if whole:
+            self._sums(upto, whole).write.mode("overwrite").parquet(f"{self.path}/upto-{whole[-1]}")
 
 
 def corpus_history(spark: SparkSession, sf_dir: str) -> DataFrame:

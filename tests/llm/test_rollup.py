@@ -71,3 +71,15 @@ def test_unknown_kinds_fail(spark, store):
 
 def test_query_against_sql(spark):
     assert oracle.compare(QUERIES["op9_token_rollup"](spark, SF), oracle.connect(SF), SQL["op9_token_rollup"]) > 0
+
+
+def test_late_batches_count(spark, store):
+    row = lambda n: events(spark, [("insert", None, ("s", "en", "v1", n))])
+    for batch in (0, 1, 3):
+        store.commit(batch, row(10**batch))
+    store.compact()
+    assert store.committed() == (1, [3]) and totals(store) == [("s", "en", "v1", 3, 1011)]
+    store.commit(2, row(100))
+    assert totals(store) == [("s", "en", "v1", 4, 1111)]
+    store.compact()
+    assert store.committed() == (3, []) and totals(store) == [("s", "en", "v1", 4, 1111)]
