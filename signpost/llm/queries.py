@@ -7,7 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signpost.llm import chosen_path, extract, kmeans_tree, langid, mixing, packing, pii, rollup, spotsigs, warc
+from signpost.llm import (
+    chosen_path,
+    extract,
+    kmeans_tree,
+    langid,
+    mixing,
+    packing,
+    pii,
+    rollup,
+    spelling,
+    spotsigs,
+    warc,
+)
 from signpost.llm.tables import documents, read, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +103,9 @@ def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: sources weigh 1, 2, 3, repeating, and share all words."""
     return mixing.mix(documents(spark, sf_dir))
+
+
+@query("op11_spelling", spelling.SQL)
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of six letters or more, its near words' number, its form and root."""
+    return spelling.variants(documents(spark, sf_dir))
