@@ -18,6 +18,7 @@ from signpost.llm import (
     rollup,
     spelling,
     spotsigs,
+    substrings,
     warc,
 )
 from signpost.llm.tables import documents, read, ship_package
@@ -109,3 +110,9 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of six letters or more, its near words' number, its form and root."""
     return spelling.variants(documents(spark, sf_dir))
+
+
+@query("op12_substrings", substrings.SQL)
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words under windows of 50 that an earlier document holds."""
+    return substrings.removed(documents(spark, sf_dir))
