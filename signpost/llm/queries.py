@@ -15,6 +15,7 @@ from signpost.llm import (
     mixing,
     packing,
     pii,
+    repair,
     rollup,
     spelling,
     spotsigs,
@@ -116,3 +117,9 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words under windows of 50 that an earlier document holds."""
     return substrings.removed(documents(spark, sf_dir))
+
+
+@query("op13_repair", repair.SQL)
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage, its cheapest edits and its repaired text's digest."""
+    return repair.repaired(read(spark, sf_dir, "conversations"))
