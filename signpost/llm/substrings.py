@@ -182,42 +182,49 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _anchored(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """key, first, gram, lo, hi, context: the anchors of all texts; lo to hi are window starts."""
+    """key, first, gram, context, span, places: the anchors of all texts, those with equal contexts in one row.
+
+    A context's windows begin at each of `places` and at the `span` words after it.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, grams, los, his, marks = [], [], [], [], []
+            rows, grams, marks, spans, places = [], [], [], [], []
             for row, text in enumerate(batch.column("text")):
                 numbers = _numbers(text.as_py())
                 hashes, lo, hi = anchors(numbers, length, gram)
                 held = memoryview(numbers.tobytes())
-                marks += [xxhash.xxh3_64_intdigest(held[8 * a : 8 * (b + length)]) for a, b in zip(lo.tolist(), hi.tolist())]
-                rows.append(np.full(len(lo), row))
-                grams.append(hashes)
-                los.append(lo)
-                his.append(hi)
-            if not rows:
-                continue
-            taken = pa.array(np.concatenate(rows))
+                seen: dict[tuple[int, int], list[int]] = {}
+                for g, a, b in zip(hashes.view(np.int64).tolist(), lo.tolist(), hi.tolist()):
+                    mark = xxhash.xxh3_64_intdigest(held[8 * a : 8 * (b + length)])
+                    if (g, mark) in seen:
+                        seen[g, mark].append(a)
+                        continue
+                    seen[g, mark] = [a]
+                    rows.append(row)
+                    grams.append(g)
+                    marks.append(mark)
+                    spans.append(b - a)
+                places += seen.values()
             yield pa.record_batch(
                 [
-                    batch.column("key").take(taken),
-                    batch.column("first").take(taken),
-                    pa.array(np.concatenate(grams).view(np.int64)),
-                    pa.array(np.concatenate(los).astype(np.int32)),
-                    pa.array(np.concatenate(his).astype(np.int32)),
+                    batch.column("key").take(pa.array(rows, pa.int32())),
+                    batch.column("first").take(pa.array(rows, pa.int32())),
+                    pa.array(grams, pa.int64()),
                     pa.array(np.array(marks, np.uint64).view(np.int64)),
+                    pa.array(spans, pa.int32()),
+                    pa.array(places, pa.list_(pa.int32())),
                 ],
-                ["key", "first", "gram", "lo", "hi", "context"],
+                ["key", "first", "gram", "context", "span", "places"],
             )
 
     return texts.select("key", "first", "text").mapInArrow(
-        find, "key binary, first bigint, gram bigint, lo int, hi int, context bigint"
+        find, "key binary, first bigint, gram bigint, context bigint, span int, places array<int>"
     )
 
 
 def _contexts(texts: DataFrame, owners: DataFrame, length: int) -> DataFrame:
-    """gram, context, first and the context's words, or for hot anchors each window's place and digest."""
+    """gram, context, first, last and the context's words, or for hot anchors each window's place and digest."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,13 +233,13 @@ def _contexts(texts: DataFrame, owners: DataFrame, length: int) -> DataFrame:
                 text = text.as_py()
                 words, held = text.encode().split(), None
                 for w in wanted.as_py():
-                    lo, hi = w["lo"], w["hi"]
-                    head = w["gram"], w["context"], w["first"]
+                    lo, span = w["place"], w["span"]
+                    head = w["gram"], w["context"], w["first"], w["last"]
                     if not w["hot"]:
-                        rows.append((*head, b" ".join(words[lo : hi + length]).decode(), None, None))
+                        rows.append((*head, b" ".join(words[lo : lo + span + length]).decode(), None, None))
                         continue
                     held = memoryview(_numbers(text).tobytes()) if held is None else held
-                    for at in range(lo, hi + 1):
+                    for at in range(lo, lo + span + 1):
                         mark = xxhash.xxh3_128_digest(held[8 * at : 8 * (at + length)])
                         rows.append((*head, None, at - lo, mark))
                 if len(rows) >= 20_000:
@@ -241,14 +248,15 @@ def _contexts(texts: DataFrame, owners: DataFrame, length: int) -> DataFrame:
             yield _batch(rows)
 
     def _batch(rows: list) -> pa.RecordBatch:
-        columns = list(zip(*rows)) or [()] * 6
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.binary()]
+        columns = list(zip(*rows)) or [()] * 7
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.binary()]
         return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    names = ["gram", "context", "first", "words", "place", "mark"]
-    wanted = owners.groupBy("key").agg(F.collect_list(F.struct("gram", "context", "first", "lo", "hi", "hot")).alias("wanted"))
+    names = ["gram", "context", "first", "last", "words", "place", "mark"]
+    fields = F.struct("gram", "context", "first", "last", "place", "span", "hot")
+    wanted = owners.groupBy("key").agg(F.collect_list(fields).alias("wanted"))
     return texts.join(wanted, "key").select("text", "wanted").mapInArrow(
-        cut, "gram bigint, context bigint, first bigint, words string, place int, mark binary"
+        cut, "gram bigint, context bigint, first bigint, last bigint, words string, place int, mark binary"
     )
 
 
@@ -299,9 +307,9 @@ def _searched(held: list, length: int) -> pa.RecordBatch:
 
 
 def _by_windows(contexts: DataFrame) -> DataFrame:
-    """The same for contexts of hot anchors, from the digests of their windows."""
-    firsts = contexts.groupBy("mark").agg(F.min("first").alias("least"))
-    joined = contexts.join(firsts, "mark")
+    """The same for contexts of hot anchors, from the digests of those windows that several documents have."""
+    firsts = contexts.groupBy("mark").agg(F.min("first").alias("least"), F.max("last").alias("largest"))
+    joined = contexts.join(materialize(firsts.where("least < largest"), "repeat-windows"), "mark")
     run = F.struct(F.col("place").alias("a"), F.col("place").alias("b"), F.col("least").alias("first"))
     return joined.groupBy("gram", "context").agg(F.collect_list(run).alias("runs"))
 
@@ -316,8 +324,9 @@ def _kept(texts: DataFrame, spans: DataFrame) -> DataFrame:
                 words = text.as_py().encode().split()
                 covered = np.zeros(len(words) + 1, np.int64)
                 for span in found or ():
-                    covered[span["from"]] += 1
-                    covered[span["to"]] -= 1
+                    for at in span["places"]:
+                        covered[at + span["from"]] += 1
+                        covered[at + span["to"]] -= 1
                 left = np.flatnonzero(np.cumsum(covered[:-1]) == 0)
                 totals.append(len(words))
                 gone.append(len(words) - len(left))
@@ -342,11 +351,13 @@ def _deduplicated(docs: DataFrame, length: int, gram: int, most: int, shard: int
     gram = min(gram, length)
     found = materialize(_anchored(texts, length, gram), "repeat-anchors")
     ends = found.groupBy("gram").agg(F.min("first").alias("least"), F.max("first").alias("largest"))
-    shared = materialize(found.join(ends.where("least < largest"), "gram", "left_semi"), "repeat-shared")
+    # A table of its own, so that hot anchors can be split where it is joined.
+    ends = materialize(ends.where("least < largest").select("gram"), "repeat-grams")
+    shared = materialize(found.join(ends, "gram", "left_semi"), "repeat-shared")
     # One owner per distinct context: its first document.
-    owner = F.min(F.struct("first", "key", "lo", "hi")).alias("o")
-    owners = shared.groupBy("gram", "context").agg(owner).select("gram", "context", "o.*")
-    owners = materialize(owners, "repeat-owners")
+    owner = F.min(F.struct("first", "key", F.col("places")[0].alias("place"), "span")).alias("o")
+    owners = shared.groupBy("gram", "context").agg(owner, F.max("first").alias("last"))
+    owners = materialize(owners.select("gram", "context", "o.*", "last"), "repeat-owners")
     hot = owners.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > most)
     owners = owners.join(hot.select("gram", F.lit(True).alias("hot")), "gram", "left")
     owners = owners.withColumn("hot", F.coalesce("hot", F.lit(False)))
@@ -357,10 +368,10 @@ def _deduplicated(docs: DataFrame, length: int, gram: int, most: int, shard: int
     begun = F.filter("runs", lambda r: r["first"] < F.col("first"))
     spans = (
         shared.join(runs, ["gram", "context"])
-        .select("key", "lo", F.explode(begun).alias("r"))
-        .select("key", (F.col("lo") + F.col("r.a")).alias("from"), (F.col("lo") + F.col("r.b") + length).alias("to"))
+        .select("key", "places", F.explode(begun).alias("r"))
+        .select("key", "places", F.col("r.a").alias("from"), (F.col("r.b") + length).alias("to"))
         .groupBy("key")
-        .agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+        .agg(F.collect_list(F.struct("places", "from", "to")).alias("spans"))
     )
     return _kept(texts, spans)
 
