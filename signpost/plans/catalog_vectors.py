@@ -245,18 +245,59 @@ def union_backfilled_vectors(spark, sf):
     return joined.select("code", F.size("embedding").cast("long").alias("dim"))
 
 
-# --- approximate candidates (no SQL: the buckets come from seeded projections) -------
+# --- approximate candidates -----------------------------------------------------------
+
+
+def _buckets_sql(name: str, source: str, key: str) -> str:
+    """CTE `name(key, tab, bucket)`: the bucket of each vector in each hash table."""
+    return f"""{name}_whole AS (SELECT {key}, v, list_transform(v, lambda x: floor(CAST(x AS DOUBLE) /
+      CAST(list_max(list_transform(v, lambda y: abs(y))) AS DOUBLE) * {N._SCALE} + 0.5)) AS w FROM {source}),
+  {name}_signs AS (SELECT {key}, tab, bit, list_dot_product(w, ws) > 0 AS sign FROM {name}_whole, planes),
+  {name} AS (SELECT {key}, tab, sum(CASE WHEN sign THEN 1 << bit ELSE 0 END) AS bucket
+    FROM {name}_signs GROUP BY {key}, tab)"""
+
+
+_LSH = f"""WITH {V.REFS}, {V.QUERIES},
+  bits AS (SELECT CAST(greatest(1, least({N.LSH_MOST_BITS}, ceil(log2(greatest(1, count(*) / {N.LSH_ROWS}))))) AS BIGINT) AS bits
+    FROM ref_rows),
+  planes AS (SELECT tab, bit, list_transform(range(64), lambda p: CAST({N.weight_sql('tab', 'bit', 'p')} AS DOUBLE)) AS ws
+    FROM range({N.LSH_TABLES}) t(tab), range({N.LSH_MOST_BITS}) b(bit), bits WHERE bit < bits),
+  {_buckets_sql('rb', "(SELECT code, embedding AS v FROM ref_rows)", 'code')},
+  {_buckets_sql('qb', "(SELECT mid, embedding AS v FROM query_rows)", 'mid')},
+  probes AS (SELECT mid, tab, bucket FROM qb UNION ALL
+    SELECT mid, tab, xor(bucket::BIGINT, 1 << bit) FROM qb, range({N.LSH_MOST_BITS}) b(bit), bits WHERE bit < bits),
+  mates AS (SELECT DISTINCT mid, code FROM probes JOIN rb USING (tab, bucket)),
+  scored AS (SELECT mid, code, round(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(r.v AS DOUBLE[])), 9) AS cosine
+    FROM mates JOIN queries q USING (mid) JOIN refs r USING (code)),
+  lsh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mid ORDER BY cosine DESC, code) AS rank FROM scored)
+    WHERE rank <= 5)"""
 
 
-@query("lsh_candidates")
+@query(
+    "lsh_candidates",
+    f"""{_LSH} SELECT mid, CAST(rank AS INT) AS rank, code, 1 - cosine AS distance, {_CLAMPED} AS similarity
+        FROM query_rows LEFT JOIN lsh USING (mid)""",
+)
 def lsh_candidates(spark, sf):
-    return N.lsh_candidates(V.query_vectors(spark, sf), V.ref_vectors(spark, sf), dim=64)
+    return N.lsh_candidates(V.query_vectors(spark, sf), V.ref_vectors(spark, sf))
 
 
-@query("lsh_candidates_graph_expand")
+@query(
+    "lsh_candidates_graph_expand",
+    f"""{_LSH}, {V.GRAPH},
+        first AS (SELECT mid, code FROM lsh WHERE rank = 1),
+        pool AS (SELECT mid, code FROM first UNION
+          SELECT mid, neighbor_id FROM first JOIN edges ON job_id = code),
+        rescored AS (SELECT mid, code, round(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(r.v AS DOUBLE[])), 9) AS cosine
+          FROM pool JOIN queries q USING (mid) JOIN refs r USING (code)),
+        best AS (SELECT mid, code, cosine FROM (SELECT *, row_number() OVER (PARTITION BY mid
+          ORDER BY cosine DESC, code) AS n FROM rescored) WHERE n = 1)
+        SELECT b.mid, b.code, {clamp_sql('b.cosine')} AS similarity, b.code <> f.code AS changed
+        FROM best b JOIN first f ON f.mid = b.mid""",
+)
 def lsh_candidates_graph_expand(spark, sf):
     refs, queries = V.ref_vectors(spark, sf), V.query_vectors(spark, sf)
-    found = N.lsh_candidates(queries, refs, dim=64)
+    found = N.lsh_candidates(queries, refs)
     units = refs.withColumn("embedding", E.normalize_vector("embedding"))
     return N.expand_and_rescore(found, queries, units, N.neighbor_graph(refs))
 
@@ -334,16 +375,21 @@ _PENDING = f"""{V.POSTINGS}, {V.RESULTS}, {V.RESULT_IDS}, todo AS (
     AND mid NOT IN (SELECT mid FROM result_ids))"""
 
 
-def _result_sql(best: str) -> str:
+def _result_sql(best: str, having: str = "todo") -> str:
     return f"""SELECT p.mid AS job_id, {_cut_sql('p.job_intro')} AS job_intro,
       round(coalesce({clamp_sql('b.cosine')}, 0), 4) AS similarity_score, {_RESULT_FIELDS}
-    FROM todo p LEFT JOIN {best} b ON b.mid = p.mid AND b.rank = 1
+    FROM {having} p LEFT JOIN {best} b ON b.mid = p.mid AND b.rank = 1
     LEFT JOIN taxonomy t ON t.code = b.code"""
 
 
-@query("classify", f"{_TOP}, {V.TAXONOMY}, {_PENDING} {_result_sql('top')}")
+@query(
+    "classify",
+    f"""{_TOP}, {V.TAXONOMY}, {_PENDING}, ready AS (
+          SELECT * FROM todo WHERE mid IN (SELECT mid FROM queries))
+        {_result_sql('top', 'ready')}""",
+)
 def classify(spark, sf):
-    """All pending postings -> result rows; one without a vector has a blank code."""
+    """All pending postings with a vector -> result rows; the others stay pending."""
     refs = V.ref_vectors(spark, sf)
     graph = materialize(N.neighbor_graph(refs), "graph")
     todo = K.pending_postings(V.postings(spark, sf), V.results(spark, sf))

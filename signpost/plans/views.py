@@ -283,4 +283,5 @@ GRAPH = """edges AS (
 
 
 def clamp_sql(cosine: str) -> str:
-    return f"greatest(0.0::DOUBLE, least(1.0::DOUBLE, {cosine}))"
+    # least and greatest skip nulls there too.
+    return f"CASE WHEN {cosine} IS NOT NULL THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE, {cosine})) END"
