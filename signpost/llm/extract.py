@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -108,12 +109,22 @@ def _standing(tag: str, attributes: str, article: bool, furniture: bool) -> tupl
     return article or bool(named & ARTICLE_WORDS), furniture
 
 
-def _ends(page: str, at: int) -> dict[int, int]:
+def _token(page: str, at: int, last: int) -> re.Match | None:
+    """The next tag or comment. Tags end at the `last` > of the page or before, so none is looked for after it."""
+    token = _TOKEN.search(page, at, last + 1)
+    # A comment without an end takes the rest of the page.
+    start = page.find("<!--", max(at, last)) if token is None else token.start()
+    if start >= 0 and page.startswith("<!--", start) and (token is None or not token.group().endswith("-->")):
+        return _TOKEN.match(page, start)
+    return token
+
+
+def _ends(page: str, at: int, last: int) -> dict[int, int]:
     """Where the skipped elements after `at` end, by the ends of their start tags; those without an end tag are left out."""
     ends: dict[int, int] = {}
     started: dict[str, list[int]] = {}
     size = len(page)
-    while at < size and (token := _TOKEN.search(page, at)):
+    while at < size and (token := _token(page, at, last)):
         at = token.end()
         tag = (token.group(2) or "").lower()
         if tag not in SKIPPED_TAGS:
@@ -122,14 +133,14 @@ def _ends(page: str, at: int) -> dict[int, int]:
             if started.get(tag):
                 ends[started[tag].pop()] = at
         elif tag in RAW_TAGS:
-            at = _raw_end(page, tag, at)
+            at = _raw_end(page, tag, at, last)
         elif not (tag in FOREIGN_TAGS and token.group(3).endswith("/")):
             started.setdefault(tag, []).append(at)
     return ends
 
 
-def _raw_end(page: str, tag: str, at: int) -> int:
-    end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+def _raw_end(page: str, tag: str, at: int, last: int) -> int:
+    end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at, last + 1)
     return end.end() if end else len(page)
 
 
@@ -156,9 +167,10 @@ def blocks(page: str) -> list[Block]:
         if links:
             linked.append(text)
 
-    at, size = 0, len(page)
+    at, size, last = 0, len(page), page.rfind(">")
+    open_tags: Counter[str] = Counter()
     while at < size:
-        token = _TOKEN.search(page, at)
+        token = _token(page, at, last)
         if token is None:
             say(_UNFINISHED.sub("", page[at:]))
             break
@@ -172,10 +184,10 @@ def blocks(page: str) -> list[Block]:
         if tag in SKIPPED_TAGS:
             if not closing:
                 if tag in RAW_TAGS:
-                    at = _raw_end(page, tag, at)
+                    at = _raw_end(page, tag, at, last)
                 elif not (tag in FOREIGN_TAGS and token.group(3).endswith("/")):
                     if ends is None:
-                        ends = _ends(page, token.start())
+                        ends = _ends(page, token.start(), last)
                     at = ends.get(at, at)
                 if tag in BLOCK_TAGS:
                     close()
@@ -190,12 +202,14 @@ def blocks(page: str) -> list[Block]:
             heading = 0 if closing else 1
         if tag in CONTAINER_TAGS:
             if closing:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
+                while open_tags[tag]:
+                    closed = stack.pop()[0]
+                    open_tags[closed] -= 1
+                    if closed == tag:
                         break
             elif not token.group(3).endswith("/"):
                 _, article, furniture = stack[-1]
+                open_tags[tag] += 1
                 stack.append((tag, *_standing(tag, token.group(3), article, furniture)))
     close()
     return found

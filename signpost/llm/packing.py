@@ -39,22 +39,29 @@ def public_tokenizer(name: str) -> str:
 
 
 def _encoder(name: str):
-    """texts -> lists of ids as the vocabulary file `name` gives them, without special tokens.
+    """A function from texts to the ids that the vocabulary file `name` gives them.
 
-    The file's merges are run by a faster library that gives the same ids; special tokens'
-    strings in a text are ordinary text.
+    The file's merges are run by a faster library that gives the same ids; the strings of the
+    file's added tokens stand for these, none is added around a text.
     """
     if name not in _ENCODERS:
         import tiktoken
 
         vocabulary = json.load(open(public_tokenizer(name), encoding="utf-8"))
-        special = {t["content"] for t in vocabulary.get("added_tokens", [])}
+        special = {t["content"]: t["id"] for t in vocabulary.get("added_tokens", [])}
         back = {c: b for b, c in _byte_characters().items()}
         ranks = {
             bytes(back[c] for c in token): i for token, i in vocabulary["model"]["vocab"].items() if token not in special
         }
         pattern = importlib.import_module("public_tokenizers").PATTERN
-        _ENCODERS[name] = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        encoding = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+
+        def encode(text: str) -> list[int]:
+            if any(token in text for token in special):
+                return encoding.encode(text, allowed_special="all")
+            return encoding.encode_ordinary(text)
+
+        _ENCODERS[name] = encode
     return _ENCODERS[name]
 
 
@@ -69,12 +76,12 @@ def encoded(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end: int = EN
     """doc_id, part, start (in its partition), tokens (with the end id), ids (little-endian uint32)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encode_text = _encoder(tokenizer)
         part, start = TaskContext.get().partitionId(), 0
         for batch in batches:
             starts, counts, ids = [], [], []
             for text in batch.column("text"):
-                row = np.array([*encoder.encode_ordinary(text.as_py() or ""), end], "<u4")
+                row = np.array([*encode_text(text.as_py() or ""), end], "<u4")
                 starts.append(start)
                 counts.append(len(row))
                 ids.append(row.tobytes())

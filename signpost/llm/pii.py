@@ -41,9 +41,10 @@ HEX_ALPHABETS = (DIGITS, HEX_LOWER, HEX_UPPER)
 CYCLE, CYCLE_LEFT, CYCLE_RIGHT = 146_097, 189, 773
 CYCLE_START = "1800-01-01"
 
+# Every repeated group is bounded, a domain's labels as in DNS: Java matches groups by recursion.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,}",
     "secret": r"(?i:token|secret|passwd|password|api[_-]?key)[\"']?\s*[=:]\s*[\"']?[A-Za-z0-9+/_-]{16,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 from signpost.llm import extract
@@ -103,3 +104,23 @@ def test_self_closed_elements():
     assert extract.main_text("<article><p>x</p><iframe src='u' /><p>y</p></article>", TREE) == "x\n\ny"
     assert extract.main_text("<article><p>x</p><svg><svg/>no</svg><p>y</p></article>", TREE) == "x\n\ny"
     assert extract.main_text("<article><p>x</p><script>no <p>no</p></article>", TREE) == "x"
+
+
+def test_broken_pages_take_linear_time():
+    tree = extract.trained()
+    for unit in ("<a ", "<p \"", "<!x", "<!--", "</script ", "<script>", "<p '", "<div>", "</div>", "<div></p>", "<svg ", "<form>", "&amp", "<"):
+        for tail in ("", ">", "<p>end"):
+            start = time.perf_counter()
+            extract.main_text("<article><p>Some words here.</p>" + unit * (1_000_000 // len(unit)) + tail, tree)
+            assert time.perf_counter() - start < 20, (unit, tail)
+
+
+def test_unfinished_markup():
+    tree = extract.trained()
+    lead = "<article><p>One plain sentence of some words.</p>"
+    kept = "One plain sentence of some words."
+    assert extract.main_text(lead + "<p>a < b", tree) == kept + "\n\na < b"
+    assert extract.main_text(lead + "<a href='x", tree) == kept
+    assert extract.main_text(lead + "<!-- gone <p>never</p>", tree) == kept
+    assert extract.main_text(lead + "<!-- gone --><p>Back again.</p>", tree) == kept + "\n\nBack again."
+    assert extract.main_text(lead + "<div><section></div><p>After.</p>", tree) == kept + "\n\nAfter."
