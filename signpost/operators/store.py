@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from signpost.functions.text import is_job_id, text_key, trim_u
 from signpost.operators.sizing import broadcast_if_bounded
 from signpost.schema import STATUS_DONE, STATUS_FILTERED, STATUS_PENDING
+from signpost.session import materialize
 
 
 def upsert_postings(store: DataFrame, load: DataFrame, loaded_at: Column) -> DataFrame:
@@ -107,11 +108,12 @@ def apply_enrichment(taxonomy: DataFrame, payloads: DataFrame) -> DataFrame:
     return update_by_key(taxonomy, good, "code", ["overview", "duties", "keywords", "titles"])
 
 
-def normalize_job_ids(store: DataFrame, ordinal: str) -> DataFrame:
+def normalize_job_ids(store: DataFrame, ordinal: str, most_salts: int = 8) -> DataFrame:
     """Replace ids that are not 32 hex digits by a hash of the row.
 
-    The old id stays in `source_mid`. A hash that is already an id in use (or
-    the hash of an earlier row) gets a salted second hash.
+    The old id stays in `source_mid`. A hash that is already an id in use gets a salted second
+    hash, and that a third, until no id is contested; a valid id stays, then the row that needed
+    fewer salts, then the earlier one.
     """
     clean = trim_u("mid")
     # Every part is present, so that concat_ws skips none.
@@ -121,35 +123,43 @@ def normalize_job_ids(store: DataFrame, ordinal: str) -> DataFrame:
     ]
     base = F.concat_ws("|", *parts)
     rows = store.withColumns(
-        {"source_mid": F.col("mid"), "_valid": F.coalesce(is_job_id(clean), F.lit(False))}
+        {"source_mid": F.col("mid"), "_valid": F.coalesce(is_job_id(clean), F.lit(False)), "_salt": F.lit(0)}
     ).withColumn("mid", F.when(F.col("_valid"), clean).otherwise(text_key(base)))
-    # Who keeps a contested id: the valid row, else the earliest one. Partial
-    # aggregation leaves one small row per id and map task.
-    contested = (
-        rows.groupBy("mid")
-        .agg(
-            F.count("*").alias("_n"),
-            F.bool_or("_valid").alias("_taken"),
-            F.min(F.when(~F.col("_valid"), F.col(ordinal))).alias("_first"),
+    place = F.struct("_salt", ordinal)
+    loses = ~F.col("_valid") & F.col("_taken").isNotNull() & (F.col("_taken") | (place != F.col("_first")))
+    for salt in range(1, most_salts + 1):
+        # Partial aggregation leaves one small row per id and map task.
+        contested = (
+            rows.groupBy("mid")
+            .agg(
+                F.bool_or("_valid").alias("_taken"),
+                F.min(F.when(~F.col("_valid"), place)).alias("_first"),
+                F.max(F.when(~F.col("_valid"), place)).alias("_last"),
+            )
+            # Equal rows of one place share their hash.
+            .filter(F.col("_first").isNotNull() & (F.col("_taken") | (F.col("_first") != F.col("_last"))))
+            .drop("_last")
         )
-        .filter((F.col("_n") > 1) & F.col("_first").isNotNull())
-        .drop("_n")
-    )
-    salted = text_key(
-        F.concat_ws("|", F.col(ordinal).cast("string"), F.coalesce(trim_u("source_mid"), F.lit("")),
-                    *parts[2:], F.lit("1"))
-    )
-    loses = (
-        ~F.col("_valid")
-        & F.col("_taken").isNotNull()
-        & (F.col("_taken") | (F.col(ordinal) != F.col("_first")))
-    )
-    # Collisions of 128-bit hashes: normally none, so the rows are not shuffled.
-    return (
-        rows.join(broadcast_if_bounded(contested), "mid", "left")
-        .withColumn("mid", F.when(loses, salted).otherwise(F.col("mid")))
-        .drop("_valid", "_taken", "_first")
-    )
+        # Collisions of 128-bit hashes: normally none, so the rows are not shuffled.
+        contested = materialize(contested, "contested-ids")
+        if contested.isEmpty():
+            return rows.drop("_valid", "_salt")
+        salted = text_key(
+            F.concat_ws("|", F.col(ordinal).cast("string"), F.coalesce(trim_u("source_mid"), F.lit("")),
+                        *parts[2:], F.lit(str(salt)))
+        )
+        rows = (
+            rows.join(broadcast_if_bounded(contested), "mid", "left")
+            .withColumn("_loses", F.coalesce(loses, F.lit(False)))
+            .withColumns(
+                {
+                    "mid": F.when(F.col("_loses"), salted).otherwise(F.col("mid")),
+                    "_salt": F.when(F.col("_loses"), F.lit(salt)).otherwise(F.col("_salt")),
+                }
+            )
+            .drop("_taken", "_first", "_loses")
+        )
+    raise RuntimeError(f"ids still contested after {most_salts} salts")
 
 
 def store_counts(store: DataFrame) -> DataFrame:

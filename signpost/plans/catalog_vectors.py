@@ -342,7 +342,8 @@ _SUMMARY = """CAST(sum(n) AS BIGINT) AS trigrams, CAST(sum(n * (bucket + 1)) AS
         SELECT doc_id, {_SUMMARY} FROM tri GROUP BY doc_id""",
 )
 def embed_texts(spark, sf):
-    rows = M.embed_texts(V.table(spark, sf, "documents"), "text")
+    docs = V.table(spark, sf, "documents").select("doc_id", "text")
+    rows = M.embed_texts(docs.repartition(spark.sparkContext.defaultParallelism), "text")
     return _vector_summary(rows.filter(F.col("error").isNull()), "doc_id")
 
 
@@ -436,7 +437,8 @@ def classify_text(spark, sf):
     refs = materialize(entries, "vectors")
     graph = materialize(I.build_graph(codes, refs), "graph")
     store = V.postings(spark, sf).withColumn("structured_json", F.lit(None).cast("string"))
-    return K.classify_texts(store, V.results(spark, sf), refs, graph, codes)
+    tasks = spark.sparkContext.defaultParallelism
+    return K.classify_texts(store, V.results(spark, sf), refs, graph, codes, tasks=tasks)
 
 
 @query(

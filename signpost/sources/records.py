@@ -191,6 +191,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     starts = materialize(_starts(_ranges(lines)), "csv-ranges")
     whole = _cut(lines.join(F.broadcast(starts), ["path", "start"], "left"), whole=True)
     open_edges = starts.where(F.col("inside") | F.col("ends_inside"))
+    if open_edges.isEmpty():
+        return whole.select("path", "row", "record")
     pieces = _cut(lines.join(F.broadcast(open_edges), ["path", "start"]), whole=False)
     joined = pieces.groupBy("path", "row").agg(F.sort_array(F.collect_list(F.struct("start", "record"))).alias("parts"))
     joined = joined.select("path", "row", F.array_join(F.col("parts.record"), "\n").alias("record"))

@@ -165,3 +165,17 @@ def test_hot_text_is_embedded_once_and_every_row_kept(spark):
     model = HashingEmbedder()
     assert len(got) == 900 and len({r.id for r in got}) == 900
     assert all(r.embedding == model.embed_one(r.text).tolist() and r.error is None for r in got)
+
+
+def test_ids_are_salted_until_none_is_contested(spark):
+    """Valid ids planted on a row's hash and on its first two salted hashes; repeated rows too."""
+    kind = "mid string, job_intro string, source string, n long"
+    rows = [("x", "text", "s", 7), ("x", "text", "s", 7), ("y", "other", "s", 8)]
+    for _ in range(3):
+        got = store.normalize_job_ids(spark.createDataFrame(rows, kind), "n").collect()
+        (mine,) = {r.mid for r in got if r.source_mid == "x"}
+        assert mine not in {r[0] for r in rows} and len(got) == len(rows)
+        rows.append((mine, "planted", "s", 100 + len(rows)))
+    assert len({r[0] for r in rows[3:]}) == 3
+    with pytest.raises(RuntimeError):
+        store.normalize_job_ids(spark.createDataFrame(rows, kind), "n", most_salts=2)
