@@ -9,6 +9,7 @@ from signpost.functions.text import is_job_id, text_key, trim_u
 from signpost.operators.sizing import broadcast_if_bounded
 from signpost.schema import STATUS_DONE, STATUS_FILTERED, STATUS_PENDING
 from signpost.session import materialize
+from signpost.sources.versions import VersionedTable
 
 
 def upsert_postings(store: DataFrame, load: DataFrame, loaded_at: Column) -> DataFrame:
@@ -51,6 +52,11 @@ def upsert_postings(store: DataFrame, load: DataFrame, loaded_at: Column) -> Dat
     )
 
 
+def load_postings(table: VersionedTable, load: DataFrame, loaded_at: Column) -> None:
+    """`upsert_postings` into a stored table keyed by mid: only the parts it touches are rewritten."""
+    table.merge(load, lambda held, rows: upsert_postings(held, rows, loaded_at))
+
+
 def backfill_missing(postings: DataFrame, results: DataFrame, limit: int | None = None):
     """Postings that have no result row yet; optionally the first N by id.
 
@@ -84,6 +90,16 @@ def update_by_key(table: DataFrame, changes: DataFrame, key: str, columns: list[
     return joined.withColumns(updated).drop("_new")
 
 
+def update_stored(table: VersionedTable, changes: DataFrame, columns: list[str]) -> None:
+    """`update_by_key` in a stored table, by its key: parts without a change keep their files."""
+    table.merge(changes, lambda held, rows: update_by_key(held, rows, table.key, columns))
+
+
+def mark_stored(table: VersionedTable, results: DataFrame) -> None:
+    """`mark_processed` in a stored table keyed by mid: parts without a result keep their files."""
+    table.merge(results.select(trim_u("mid").alias("mid")), mark_processed)
+
+
 STRUCTURED_COLUMNS = [
     "structured_json",
     "structured_summary",

@@ -12,7 +12,7 @@ from signpost.operators import nearest as N
 from signpost.operators import routing, store
 from signpost.plans import index as I
 from signpost.plans import views as V
-from signpost.plans.catalog_store import _RECONCILED, LOADED_AT, reconciled
+from signpost.plans.catalog_store import _RECONCILED, LOADED_AT, enrichments, reconciled
 from signpost.plans.catalog_vectors import _CODE_TEXT, _TOP, _cut_sql, _RESULT_FIELDS
 from signpost.plans.registry import query
 from signpost.plans.views import clamp_sql, trim_sql
@@ -22,6 +22,7 @@ from signpost.sources import delimited as D
 from signpost.sources import manifest as T
 from signpost.sources import sinks as W
 from signpost.sources.taxonomy import read_taxonomy
+from signpost.sources.versions import read_table
 
 _WRITE = {
     "header": "true",
@@ -88,15 +89,38 @@ def read_taxonomy_query(spark, sf):
     return _taxonomy_columns(read_taxonomy(spark, path, lines=True))
 
 
-@query("write_enriched_taxonomy", _TAXONOMY_OUT)
+@query("read_taxonomy_array", _TAXONOMY_OUT)
+def read_taxonomy_array(spark, sf):
+    """The same rows from files that each hold one JSON array over several lines."""
+    path = scratch_dir(spark, "taxonomy")
+    raw = V.taxonomy_raw(spark, sf)
+    record = F.to_json(F.struct(*W.enriched_documents(raw.drop("ordinal")).columns))
+    rows = W.enriched_documents(raw).select(record.alias("record"))
+    # A hundred codes or so a file.
+    file = F.pmod(F.xxhash64("record"), F.greatest(F.lit(1), F.lit(raw.count() // 100)))
+    arrays = rows.groupBy(file.alias("file")).agg(F.array_join(F.collect_list("record"), ",\n").alias("records"))
+    arrays.select("file", F.concat(F.lit("[\n"), "records", F.lit("\n]"))).write.partitionBy("file").text(path)
+    return _taxonomy_columns(read_taxonomy(spark, f"{path}/*"))
+
+
+@query(
+    "write_enriched_taxonomy",
+    f"""WITH {V.TAXONOMY}, answers AS (
+          SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name FROM supplier WHERE s_acctbal >= 0)
+        SELECT t.* EXCLUDE (overview, duties, keywords, titles, ordinal),
+          CASE WHEN s_name IS NULL THEN overview ELSE s_name END AS overview,
+          {', '.join(f"CASE WHEN s_name IS NULL THEN array_to_string({c}, '|') ELSE s_name || '|x' END AS {c}"
+                     for c in ('duties', 'keywords', 'titles'))}
+        FROM taxonomy t LEFT JOIN answers a ON a.code = t.code""",
+)
 def write_enriched_taxonomy(spark, sf):
-    """Written because no record failed, then read back."""
+    """Refused while an answer is an error; then written with the others applied, and read back."""
     path = scratch_dir(spark, "enriched")
-    rows = V.taxonomy(spark, sf)
-    failed = rows.select("code", F.when(F.col("code") == "", "failed").alias("error"))
-    if not W.write_enriched_taxonomy(rows, failed, path):
-        raise RuntimeError("nothing was written")
-    return _taxonomy_columns(read_taxonomy(spark, path, lines=True))
+    rows, answers = V.taxonomy(spark, sf), enrichments(spark, sf)
+    good = answers.filter(F.col("error").isNull())
+    if not W.write_enriched_taxonomy(rows, answers, path):
+        W.write_enriched_taxonomy(rows, good, path)
+    return _taxonomy_columns(read_taxonomy(spark, W.enriched_folder(spark, path), lines=True))
 
 
 @query(
@@ -164,7 +188,7 @@ def write_ignored(spark, sf):
 def write_vectors(spark, sf):
     path = scratch_dir(spark, "vectors")
     W.write_vectors(I.embed_taxonomy(V.taxonomy(spark, sf)), path)
-    return spark.read.parquet(path).select(
+    return read_table(spark, path).select(
         "code",
         "document",
         F.size("embedding").cast("long").alias("dim"),
@@ -179,7 +203,7 @@ def write_vectors(spark, sf):
 def write_neighbors(spark, sf):
     path = scratch_dir(spark, "neighbors")
     W.write_neighbors(N.neighbor_graph(V.ref_vectors(spark, sf)), path)
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 # --- model steps, with a stand-in model that reads the prompt ---------------------------

@@ -13,6 +13,8 @@ from signpost.plans import views as V
 from signpost.plans.registry import query
 from signpost.plans.views import trim_sql
 from signpost.schema import STATUS_DONE, STATUS_FILTERED, STATUS_PENDING
+from signpost.session import scratch_dir
+from signpost.sources.versions import VersionedTable
 
 LOADED_AT = "2024-06-01 00:00:00"
 
@@ -36,9 +38,7 @@ def _load(spark, sf):
     )
 
 
-@query(
-    "upsert_postings",
-    f"""WITH {V.POSTINGS}, load AS (
+_UPSERT = f"""WITH {V.POSTINGS}, load AS (
           SELECT mid, {trim_sql('text')} AS job_intro, source, ordinal,
             length({trim_sql('text')}) < {V.SHORT_CHARS} AS is_filtered FROM (
             SELECT CAST(conv_id AS VARCHAR) AS mid, text, role AS source, turn AS ordinal
@@ -55,12 +55,23 @@ def _load(spark, sf):
             THEN '{STATUS_PENDING}' ELSE p.status END AS status,
           coalesce(p.category, '') AS category,
           CASE WHEN l.mid IS NULL THEN p.updated_at ELSE TIMESTAMP '{LOADED_AT}' END AS updated_at
-        FROM postings p FULL JOIN last l ON l.mid = p.mid""",
-)
+        FROM postings p FULL JOIN last l ON l.mid = p.mid"""
+_STORED = ["mid", "job_intro", "source", "status", "category", "updated_at"]
+
+
+@query("upsert_postings", _UPSERT)
 def upsert_postings(spark, sf):
-    kept = ["mid", "job_intro", "source", "status", "category", "updated_at"]
     stamp = F.lit(LOADED_AT).cast("timestamp")
-    return store.upsert_postings(V.postings(spark, sf).select(*kept), _load(spark, sf), stamp)
+    return store.upsert_postings(V.postings(spark, sf).select(*_STORED), _load(spark, sf), stamp)
+
+
+@query("load_postings", _UPSERT)
+def load_postings(spark, sf):
+    """The load merged into a stored table, whose untouched parts keep their files."""
+    table = VersionedTable(spark, scratch_dir(spark, "store"), key="mid", parts=16)
+    table.replace(V.postings(spark, sf).select(*_STORED))
+    store.load_postings(table, _load(spark, sf), F.lit(LOADED_AT).cast("timestamp"))
+    return table.read()
 
 
 _TODO = f"""WITH {V.POSTINGS}, {V.RESULTS}, {V.RESULT_IDS}
@@ -139,9 +150,15 @@ def apply_structured(spark, sf):
           AND s.s_acctbal >= 0""",
 )
 def apply_enrichment(spark, sf):
+    applied = store.apply_enrichment(V.taxonomy(spark, sf), enrichments(spark, sf))
+    return applied.select("code", "overview", F.array_join("duties", "|").alias("duties"))
+
+
+def enrichments(spark, sf):
+    """Answers for the codes that suppliers stand for, one failed for each negative balance."""
     supplier = V.table(spark, sf, "supplier")
     pair = F.array("s_name", F.lit("x"))
-    payloads = supplier.select(
+    return supplier.select(
         F.col("s_suppkey").cast("string").alias("code"),
         F.col("s_name").alias("overview"),
         pair.alias("duties"),
@@ -149,8 +166,6 @@ def apply_enrichment(spark, sf):
         pair.alias("titles"),
         F.when(F.col("s_acctbal") < 0, F.lit("failed")).alias("error"),
     )
-    applied = store.apply_enrichment(V.taxonomy(spark, sf), payloads)
-    return applied.select("code", "overview", F.array_join("duties", "|").alias("duties"))
 
 
 # --- reconciliation -----------------------------------------------------------------

@@ -347,14 +347,27 @@ def embed_texts(spark, sf):
     return _vector_summary(rows.filter(F.col("error").isNull()), "doc_id")
 
 
-@query(
-    "embed_distinct",
-    f"""WITH {trigram_sql('tri', 'conversations', 'conv_id, turn', 'text')}
-        SELECT conv_id * 1000 + turn AS id, {_SUMMARY} FROM tri GROUP BY conv_id, turn""",
-)
+_TALK_SUMMARY = f"""WITH {trigram_sql('tri', 'conversations', 'conv_id, turn', 'text')}
+        SELECT conv_id * 1000 + turn AS id, {_SUMMARY} FROM tri GROUP BY conv_id, turn"""
+
+
+def _talk(spark, sf):
+    return V.table(spark, sf, "conversations").withColumn("id", F.col("conv_id") * 1000 + F.col("turn"))
+
+
+@query("embed_distinct", _TALK_SUMMARY)
 def embed_distinct(spark, sf):
-    talk = V.table(spark, sf, "conversations").withColumn("id", F.col("conv_id") * 1000 + F.col("turn"))
-    return _vector_summary(M.embed_distinct(talk, "text"), "id")
+    return _vector_summary(M.embed_distinct(_talk(spark, sf), "text"), "id")
+
+
+@query("embed_kept", _TALK_SUMMARY)
+def embed_kept(spark, sf):
+    """The users' texts are embedded in an earlier run; this one asks the model for the others."""
+    kept = M.vector_store(spark, scratch_dir(spark, "kept-vectors"), parts=8)
+    talk = _talk(spark, sf)
+    earlier = M.embed_distinct(talk.filter("role = 'user'"), "text", kept=kept, model="trigrams")
+    earlier.write.format("noop").mode("overwrite").save()
+    return _vector_summary(M.embed_distinct(talk, "text", kept=kept, model="trigrams"), "id")
 
 
 # --- classification -----------------------------------------------------------------

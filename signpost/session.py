@@ -18,6 +18,11 @@ SETTINGS = {
     # Long texts travel to Python workers in Arrow batches: bound them by bytes.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stream state on local disk with its changes in the checkpoint, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # A repeated key in a JSON payload is legal there; the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

@@ -1,8 +1,12 @@
-"""Writers. Every one replaces its target as a whole, so a rerun leaves no duplicates."""
+"""Writers. Every one replaces its target as a whole, so a rerun leaves no duplicates.
+
+Vectors, neighbours and the enriched taxonomy become visible by one rename; `read_table` and
+`enriched_folder` find what is current.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signpost.functions.payloads import taxonomy_metadata
@@ -11,6 +15,7 @@ from signpost.operators.reconcile import dedup_keep_first
 from signpost.operators.store import apply_enrichment
 from signpost.schema import TAXONOMY_LIST_FIELDS, TAXONOMY_OVERVIEW_FIELD, TAXONOMY_TEXT_FIELDS
 from signpost.session import materialize
+from signpost.sources.versions import VersionedTable, replace_table
 
 _CSV = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "lineSep": "\n"}
 
@@ -42,11 +47,11 @@ def vector_rows(embedded: DataFrame) -> DataFrame:
 
 def write_vectors(entries: DataFrame, path: str) -> None:
     """The vector table, keyed by code: importing again replaces it."""
-    entries.write.mode("overwrite").parquet(path)
+    replace_table(entries, path)
 
 
 def write_neighbors(edges: DataFrame, path: str) -> None:
-    edges.select("job_id", "neighbor_id", "score").write.mode("overwrite").parquet(path)
+    replace_table(edges.select("job_id", "neighbor_id", "score"), path)
 
 
 def manifest_lines(manifests: DataFrame, file: str = "file") -> DataFrame:
@@ -75,11 +80,15 @@ def write_enriched_taxonomy(taxonomy: DataFrame, payloads: DataFrame, path: str)
     """Write the taxonomy with its payloads only when no record failed; tells whether it did.
 
     The payloads are written first, so what is checked is what is applied and no model is asked
-    twice.
+    twice. Without them, or after a failure before the switch, the earlier file stays.
     """
     answers = materialize(payloads, "enrichment")
     if not answers.filter(F.col("error").isNotNull()).isEmpty():
         return False
-    rows = apply_enrichment(taxonomy, answers) if "overview" in answers.columns else taxonomy
-    enriched_documents(rows).write.mode("overwrite").json(path)
+    replace_table(enriched_documents(apply_enrichment(taxonomy, answers)), path, "json")
     return True
+
+
+def enriched_folder(spark: SparkSession, path: str) -> str:
+    """The folder of the enriched taxonomy as it now stands, for `read_taxonomy(lines=True)`."""
+    return VersionedTable(spark, path, form="json").folders()[0]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, VariantType
 
 from signpost.functions.text import clean_list, clean_taxonomy_text, parse_list_field
 from signpost.schema import (
@@ -13,8 +14,33 @@ from signpost.schema import (
 )
 
 
+FIELDS = [*TAXONOMY_TEXT_FIELDS, TAXONOMY_OVERVIEW_FIELD, *TAXONOMY_LIST_FIELDS]
+_BROKEN = "_broken"
+
+
+def _of(record: Column) -> Column:
+    """The fields of one record, as VARIANT values; all null if it is no object."""
+    return F.struct(*[F.try_variant_get(record, f"$['{n}']", "variant").alias(n) for n in FIELDS])
+
+
+def _records(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    """One row `v` per record, a struct of VARIANT fields."""
+    if lines:
+        raw = spark.read.option("singleVariantColumn", "v").json(path)
+        return raw.select(_of(F.col("v")).alias("v"))
+    schema = StructType([StructField(n, VariantType()) for n in FIELDS] + [StructField(_BROKEN, StringType())])
+    options = {"multiLine": "true", "columnNameOfCorruptRecord": _BROKEN}
+    raw = spark.read.schema(schema).options(**options).json(path)
+    # The reader gives a file with elements that are no objects as a whole. That one is parsed as
+    # one value; what is no JSON raises.
+    whole = F.parse_json(_BROKEN)
+    odd = F.transform(F.try_variant_get(whole, "$", "array<variant>"), _of)
+    plain = F.array(F.struct(*[F.col(f"`{n}`").alias(n) for n in FIELDS]))
+    return raw.select(F.explode(F.when(F.col(_BROKEN).isNull(), plain).otherwise(odd)).alias("v"))
+
+
 def _field(name: str) -> Column:
-    return F.try_variant_get("v", f"$['{name}']", "variant")
+    return F.col(f"v.`{name}`")
 
 
 def _kind(value: Column) -> Column:
@@ -53,13 +79,11 @@ def read_taxonomy(
 ) -> DataFrame:
     """Taxonomy rows in file order; rows without a code are skipped.
 
-    The file is one JSON array, or with `lines` one object per line.
+    A file is one JSON array, or with `lines` one object per line. The objects of an array become
+    rows one by one, so an array may be larger than a VARIANT value can be; one with elements that
+    are no objects (skipped as well) may not. A file that is no JSON raises.
     """
-    reader = spark.read.option("multiLine", str(not lines).lower())
-    raw = reader.option("singleVariantColumn", "v").json(path)
-    if not lines:
-        # The array of a file arrives as one value. A taxonomy has a few thousand rows.
-        raw = raw.select(F.explode(F.try_variant_get("v", "$", "array<variant>")).alias("v"))
+    raw = _records(spark, path, lines)
     fields = {
         column: text_field(name, keep_scalars) for name, column in TAXONOMY_TEXT_FIELDS.items()
     }

@@ -140,9 +140,19 @@ def test_manifests(spark, tmp_path):
 
 
 def test_enriched_file_is_all_or_nothing(spark, tmp_path):
-    rows = spark.createDataFrame([("c", "o")], "code string, overview string")
-    errors = spark.createDataFrame([("c", "bad"), ("d", None)], "code string, error string")
+    lists = "duties array<string>, keywords array<string>, titles array<string>"
+    rows = spark.createDataFrame([("c", "o", ["a"], [], []), ("d", "p", [], [], [])],
+                                 f"code string, overview string, {lists}")
+    answers = spark.createDataFrame([("c", None, None, None, None, "bad"), ("d", "new", ["x"], [], [], None)],
+                                    f"code string, overview string, {lists}, error string")
     path = str(tmp_path / "out")
-    assert not W.write_enriched_taxonomy(rows, errors, path) and not os.path.exists(path)
-    assert W.write_enriched_taxonomy(rows, errors.filter("error is null"), path)
-    assert os.path.exists(path)
+
+    def found():
+        read = read_taxonomy(spark, W.enriched_folder(spark, path), lines=True)
+        return {r.code: (r.overview, r.duties) for r in read.collect()}
+
+    assert not W.write_enriched_taxonomy(rows, answers, path) and not os.path.exists(path)
+    assert W.write_enriched_taxonomy(rows, answers.filter("error is null"), path)
+    assert found() == {"c": ("o", ["a"]), "d": ("new", ["x"])}
+    assert not W.write_enriched_taxonomy(rows, answers, path)
+    assert found()["d"] == ("new", ["x"])
