@@ -90,12 +90,14 @@ def _labelled_list(label: str, values: Column, sep: str) -> Column:
 def two_decimals(value: Column) -> Column:
     """A number with two decimals, rounded from its exact binary value, ties to even.
 
-    Java's own formatting rounds the shortest decimal form instead. The exact
-    way covers 0 to 1, the range of a confidence.
+    Java's own formatting rounds the shortest decimal form instead; it is left with numbers of
+    2^63 and more, which have no decimals, and those that are no numbers.
     """
+    size = F.abs(value)
+    units = F.floor(size)
     one = 2**62
-    # Scaling by a power of two is exact, and the product fits a long.
-    scaled = (value * F.lit(float(one))).cast("long").cast("decimal(20,0)") * F.lit(100)
+    # The fraction is exact, scaling by a power of two too, and the product fits a long.
+    scaled = ((size - units) * F.lit(float(one))).cast("long").cast("decimal(20,0)") * F.lit(100)
     unit = F.lit(one).cast("decimal(20,0)")
     whole = F.floor(scaled / unit).cast("long")
     rest = scaled - whole.cast("decimal(20,0)") * unit
@@ -103,9 +105,12 @@ def two_decimals(value: Column) -> Column:
     up = (rest > half) | ((rest == half) & (whole % 2 == 1))
     cents = whole + up.cast("long")
     exact = F.concat(
-        F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0")
+        F.when(value < 0, F.lit("-")).otherwise(F.lit("")),
+        (units + F.floor(cents / 100)).cast("string"),
+        F.lit("."),
+        F.lpad((cents % 100).cast("string"), 2, "0"),
     )
-    return F.when((value >= 0) & (value <= 1), exact).otherwise(F.format_string("%.2f", value))
+    return F.when(size < F.lit(float(2**63)), exact).otherwise(F.format_string("%.2f", value))
 
 
 def format_structured(raw) -> Column:

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from signpost.functions import payloads as P
@@ -120,3 +122,15 @@ def test_progress_figures(spark):
     assert apply(spark, progress_status("v"), [100.0, 99.9, 0.0], "double") == [
         "completed", "processing", "pending",
     ]
+
+
+def test_two_decimals_everywhere(spark):
+    """The same rounding rule for every size and sign, against plain formatting."""
+    rng = random.Random(4)
+    values = [0.0, 0.005, 0.125, 0.375, 0.995, 0.999, 1.0, 1.005, 2.5, 2.675, 99.995, 1e15 + 0.125, 2.0**53, 1e18]
+    values += [rng.random() for _ in range(500)] + [rng.uniform(0, 10**k) for k in range(15) for _ in range(50)]
+    values += [k / 8 for k in range(400)] + [k / 1000 for k in range(5000)]
+    values += [-v for v in values if v]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", P.two_decimals(F.col("v")).alias("t"))
+    wrong = [(r.v, r.t) for r in rows.collect() if r.t != f"{r.v:.2f}"]
+    assert not wrong, wrong[:10]
