@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+from pyspark import cloudpickle
 from signpost.llm import chosen_path
 
 
@@ -121,3 +122,42 @@ def test_runs_end_by_the_estimate(spark, monkeypatch):
     monkeypatch.setattr(chosen_path, "_connections", lambda groups: next(counts))
     chosen_path.near_copies(frame, more_runs=16)
     assert runs == [0, 2, 18, 34]
+
+
+def long_corpus(seed=11):
+    """Sets of 200 to 2,000 shingles: groups and pairs on both sides of the threshold, shared passages."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    passage = [word() for _ in range(150)]
+    rows = []
+    for size in (204, 350, 600, 1000, 2000):
+        base = [word() for _ in range(size)]
+        # A replaced word changes five shingles: 0.8 is reached with about one in 45.
+        for k in range(16):
+            copy = list(base)
+            for _ in range(round(size / 45 * k / 12)):
+                copy[rng.randrange(size)] = word()
+            rows.append(" ".join(copy))
+        rows += [" ".join(base[: round(size * part)]) for part in (0.79, 0.81, 0.9)]
+    for k in range(30):
+        rows.append(" ".join([word() for _ in range(100 + k)] + passage + [word() for _ in range(100)]))
+    return list(enumerate(rows))
+
+
+def test_samples_of_long_sets_against_all_pairs(spark, monkeypatch):
+    """The recursion meets samples, far smaller than the sets; links are those of the whole sets."""
+    monkeypatch.setattr(chosen_path, "LEAF", 8)
+    monkeypatch.setattr(chosen_path, "NODE_BLOCK", 16)
+    monkeypatch.setattr(chosen_path, "BLOCK", 16)
+    rows = long_corpus()
+    want = brute(rows)
+    assert sum(links for _, _, links in want) > 200
+    assert min(len(grams(t)) for _, t in rows) > 150 and max(len(grams(t)) for _, t in rows) > 1900
+    assert answers(spark, rows) == want
+    # Workers must see the other size as well, so the module travels by value.
+    monkeypatch.setattr(chosen_path, "SKETCH", 32)
+    cloudpickle.register_pickle_by_value(chosen_path)
+    try:
+        assert answers(spark, rows) == want
+    finally:
+        cloudpickle.unregister_pickle_by_value(chosen_path)
