@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,9 +62,15 @@ def _hints_ok(variant: Column) -> Column:
     return F.coalesce(fine, F.lit(True))
 
 
-def structured_is_typed(raw) -> Column:
-    """The text is JSON and each known field has its declared type."""
-    v = strict_json(raw)
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often `use` refers to it.
+
+    Inside a condition Spark evaluates each reference anew, a parse of a text included.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
+def _is_typed(v: Column) -> Column:
     kind = F.schema_of_variant(v)
     shaped = F.startswith(kind, F.lit("OBJECT")) | (kind == "VOID")
     checks = (
@@ -76,6 +84,11 @@ def structured_is_typed(raw) -> Column:
     return checks & _hints_ok(v)
 
 
+def structured_is_typed(raw) -> Column:
+    """The text is JSON and each known field has its declared type."""
+    return _bound(strict_json(raw), _is_typed)
+
+
 def _labelled(label: str, value: Column) -> Column:
     """`label: value`, or null (so that concat_ws skips it) when empty."""
     return F.when(F.coalesce(value, F.lit("")) != "", F.concat(F.lit(f"{label}: "), value))
@@ -93,30 +106,36 @@ def two_decimals(value: Column) -> Column:
     Java's own formatting rounds the shortest decimal form instead; it is left with numbers of
     2^63 and more, which have no decimals, and those that are no numbers.
     """
-    size = F.abs(value)
-    units = F.floor(size)
-    one = 2**62
-    # The fraction is exact, scaling by a power of two too, and the product fits a long.
-    scaled = ((size - units) * F.lit(float(one))).cast("long").cast("decimal(20,0)") * F.lit(100)
-    unit = F.lit(one).cast("decimal(20,0)")
-    whole = F.floor(scaled / unit).cast("long")
-    rest = scaled - whole.cast("decimal(20,0)") * unit
-    half = F.lit(one // 2).cast("decimal(20,0)")
-    up = (rest > half) | ((rest == half) & (whole % 2 == 1))
-    cents = whole + up.cast("long")
-    exact = F.concat(
-        F.when(value < 0, F.lit("-")).otherwise(F.lit("")),
-        (units + F.floor(cents / 100)).cast("string"),
-        F.lit("."),
-        F.lpad((cents % 100).cast("string"), 2, "0"),
-    )
-    return F.when(size < F.lit(float(2**63)), exact).otherwise(F.format_string("%.2f", value))
+    mask, half, limit = F.lit(2**31 - 1), F.lit(2**61), F.lit(float(2**63))
+
+    def parts(x: Column) -> Column:
+        # The fraction is exact, and so is its scaling by 2^62, whose upper and lower 31 bits are
+        # multiplied by 100 apart, as the whole product does not fit a long.
+        size = F.when(F.abs(x) < limit, F.abs(x))
+        scaled = ((size - F.floor(size)) * F.lit(float(2**62))).cast("long")
+        low = scaled.bitwiseAND(mask) * 100
+        high = F.shiftright(scaled, 31) * 100 + F.shiftright(low, 31)
+        return F.struct(x.alias("x"), F.floor(size).alias("units"), high.alias("high"), low.alias("low"))
+
+    def cents(p: Column) -> Column:
+        whole = F.shiftright(p["high"], 31)
+        rest = F.shiftleft(p["high"].bitwiseAND(mask), 31) + p["low"].bitwiseAND(mask)
+        up = (rest > half) | ((rest == half) & (whole % 2 == 1))
+        return F.struct(p["x"].alias("x"), p["units"].alias("units"), (whole + up.cast("long")).alias("cents"))
+
+    def text(c: Column) -> Column:
+        exact = F.concat(
+            F.when(c["x"] < 0, F.lit("-")).otherwise(F.lit("")),
+            (c["units"] + F.floor(c["cents"] / 100)).cast("string"),
+            F.lit("."),
+            F.lpad((c["cents"] % 100).cast("string"), 2, "0"),
+        )
+        return F.when(F.abs(c["x"]) < limit, exact).otherwise(F.format_string("%.2f", c["x"]))
 
+    return _bound(value, lambda x: _bound(parts(x), lambda p: _bound(cents(p), text)))
 
-def format_structured(raw) -> Column:
-    """Readable lines of a structured payload; the raw text where it does not parse."""
-    raw = _c(raw)
-    p = F.from_json(raw, PAYLOAD_TYPE)
+
+def _payload_lines(p: Column) -> Column:
     named = F.filter(p[PAYLOAD_HINTS], lambda h: F.coalesce(h[HINT_NAME], F.lit("")) != "")
     hints = F.transform(
         named,
@@ -127,7 +146,7 @@ def format_structured(raw) -> Column:
             F.lit(")"),
         ),
     )
-    lines = F.concat_ws(
+    return F.concat_ws(
         "\n",
         _labelled(PAYLOAD_SUMMARY, p[PAYLOAD_SUMMARY]),
         _labelled_list(PAYLOAD_DUTIES, p[PAYLOAD_DUTIES], "；"),
@@ -136,6 +155,12 @@ def format_structured(raw) -> Column:
         _labelled_list(PAYLOAD_LOCATIONS, p[PAYLOAD_LOCATIONS], "；"),
         _labelled_list("大类猜测", hints, "；"),
     )
+
+
+def format_structured(raw) -> Column:
+    """Readable lines of a structured payload; the raw text where it does not parse."""
+    raw = _c(raw)
+    lines = _bound(F.from_json(raw, PAYLOAD_TYPE), _payload_lines)
     return F.when(is_blank(raw), F.lit("")).when(structured_is_typed(raw), lines).otherwise(raw)
 
 
