@@ -134,3 +134,13 @@ def test_two_decimals_everywhere(spark):
     rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", P.two_decimals(F.col("v")).alias("t"))
     wrong = [(r.v, r.t) for r in rows.collect() if r.t != f"{r.v:.2f}"]
     assert not wrong, wrong[:10]
+
+
+def test_two_decimals_beyond_longs(spark):
+    """Numbers without decimals, and those that are none, go to Java's formatting."""
+    values = [1e300, -1e300, 2.0**63, float("inf"), float("-inf"), float("nan")]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", P.two_decimals(F.col("v")).alias("t"))
+    got = [r.t for r in rows.collect()]
+    assert got[:2] == ["1" + "0" * 300 + ".00", "-1" + "0" * 300 + ".00"]
+    assert got[3:6] == ["Infinity", "-Infinity", "NaN"]
+    assert got[2].startswith("922337203685477") and got[2].endswith(".00")
