@@ -40,8 +40,9 @@ _LENGTH = re.compile(rb"(?im)^content-length:[ \t]*(\d+)")
 
 def base32_sha1(data: Column) -> Column:
     """Bare upper-case base32 of a SHA-1: five hex digits are four characters."""
+    # The digest goes in as an array: inside the lambda it would be made again for every group.
     digits = F.transform(
-        F.sequence(F.lit(0), F.lit(7)), lambda g: F.conv(F.substring(F.sha1(data), g * 5 + 1, F.lit(5)), 16, 10).cast("int")
+        F.array_repeat(F.sha1(data), 8), lambda hex, g: F.conv(F.substring(hex, g * 5 + 1, F.lit(5)), 16, 10).cast("int")
     )
     return F.array_join(F.transform(digits, _four), "")
 
