@@ -30,6 +30,8 @@ from signpost.llm.tables import materialize
 
 WINDOW = 1024
 END = 0
+# Rows worked on at once: ids of a whole Arrow batch would be held several times over.
+_SLICE = 512
 _ENCODERS: dict[str, object] = {}
 
 
@@ -72,13 +74,20 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in order, a few at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _SLICE):
+            yield batch.slice(at, _SLICE)
+
+
 def encoded(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end: int = END) -> DataFrame:
     """doc_id, part, start (in its partition), tokens (with the end id), ids (little-endian uint32)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_text = _encoder(tokenizer)
         part, start = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in _slices(batches):
             starts, counts, ids = [], [], []
             for text in batch.column("text"):
                 row = np.array([*encode_text(text.as_py() or ""), end], "<u4")
@@ -122,7 +131,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, tokenizer: str = "byte_bpe_50k
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows, starts, lengths, sums, parts = [], [], [], [], []
             places = batch.column("place").to_pylist()
             for k, ids in enumerate(batch.column("ids")):
