@@ -6,6 +6,7 @@ import zlib
 
 import oracle
 import pytest
+from pyspark.sql import functions as F
 from signpost.llm import warc
 from signpost.llm.queries import QUERIES, SQL
 from signpost.session import scratch_dir
@@ -97,3 +98,16 @@ def test_empty(spark):
 
 def test_query_against_sql(spark):
     assert oracle.compare(QUERIES["op2_warc"](spark, SF), oracle.connect(SF), SQL["op2_warc"]) > 0
+
+
+def test_a_payload_is_digested_once(spark):
+    """The SHA-1 stands outside the function that runs for each group of digits."""
+    import base64
+    import hashlib
+
+    rows = spark.createDataFrame([("a",), ("",), ("é" * 1000,)], "t string")
+    coded = rows.select("t", warc.base32_sha1(F.encode("t", "UTF-8")).alias("digest"))
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_repeat(sha1" in plan
+    for r in coded.collect():
+        assert r.digest == base64.b32encode(hashlib.sha1(r.t.encode()).digest()).decode()
