@@ -72,3 +72,12 @@ def test_query(spark, ids):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     check(QUERIES["op6_pack"](spark, sf).collect(), rows, ids, 1024)
+
+
+def test_batches_are_worked_on_in_slices():
+    import pyarrow as pa
+
+    batches = [pa.record_batch([pa.array(range(n))], ["x"]) for n in (packing._SLICE * 2 + 3, 0, 5)]
+    parts = list(packing._slices(iter(batches)))
+    assert max(p.num_rows for p in parts) == packing._SLICE
+    assert [x for p in parts for x in p.column("x").to_pylist()] == [x for b in batches for x in b.column("x").to_pylist()]
