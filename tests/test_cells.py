@@ -1,9 +1,12 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from signpost.operators import cells as C
 from signpost.operators import nearest as N
+from signpost.plans import index as I
+from signpost.plans import views as V
 
 VEC = "embedding array<float>"
 
@@ -135,3 +138,20 @@ def test_groups_are_bounded_and_hold_every_block():
     assert (cells.cell[where] == cell).all()
     assert cells.lists(np.array([1]), np.ones((1, len(cells.cell)), bool), 3).is_null().to_pylist() == [True, False, True]
     assert isinstance(cells.lists(np.empty(0, np.int64), np.zeros((0, len(cells.cell)), bool), 2), pa.ListArray)
+
+
+def test_graph_works_out_stored_vectors_once(spark):
+    """Their scan is looked up for missing codes, measured and compared, but made once."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def code(number):
+        read.add(1)
+        return f"c{number:03d}"
+
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(clustered(60, 4, 8, 9))], f"ordinal long, {VEC}")
+    vectors = rows.select(code.asNondeterministic()("ordinal").alias("code"), "embedding", "ordinal")
+    taxonomy = V.taxonomy(spark, "/root/testdata/sf0.001").limit(1).withColumn("code", F.lit("c007"))
+    edges = I.build_graph(taxonomy, vectors, 3)
+    assert edges.count() == 180
+    assert read.value == 60
