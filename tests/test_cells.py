@@ -85,6 +85,27 @@ def test_cells_leave_out_the_vector_itself(spark, monkeypatch, held):
     agree(got, plain(rows, rows, 5, own=True))
 
 
+@pytest.mark.parametrize("noise", [0.05, 5.0])
+def test_queries_meet_groups_in_turn_without_copies(spark, monkeypatch, noise):
+    """Where queries would be copied to many groups, each group goes to them: the same lists."""
+    monkeypatch.setattr(N, "_GROUP_BYTES", 4_000)
+    monkeypatch.setattr(N, "_MOST_COPIES", 0)
+    monkeypatch.setattr(N, "_LEAST_COPIED", 0)
+    made = []
+    monkeypatch.setattr(N.HeldGroup, "__init__", lambda self, table, f=N.HeldGroup.__init__: made.append(f(self, table)))
+    refs = rows_of(clustered(500, 12, 8, 1, noise), "r") + [("z", [0.0] * 8)]
+    queries = rows_of(clustered(900, 17, 8, 2, noise), "q")
+    queries += [("zero", [0.0] * 8), ("null", None), ("short", [1.0, 2.0])]
+    agree(attached(spark, queries, refs, 3, monkeypatch), plain(queries, refs, 3))
+    rows = rows_of(clustered(1_100, 30, 8, 3, noise), "r")
+    edges = N.neighbor_graph(spark.createDataFrame(rows, f"code string, {VEC}"), 4, ref_bytes=2_000).collect()
+    got = {}
+    for e in sorted(edges, key=lambda e: (-e.score, e.neighbor_id)):
+        got.setdefault(e.job_id, []).append((e.neighbor_id, e.score))
+    agree(got, plain(rows, rows, 4, own=True))
+    assert len(made) > 10
+
+
 def test_few_scores_are_made_of_clustered_vectors(spark, monkeypatch):
     """Of clusters that lie apart, a vector is compared with a small part of all."""
     monkeypatch.setattr(N, "_GROUP_BYTES", 20_000)
